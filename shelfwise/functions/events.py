@@ -81,5 +81,11 @@ def encode_json(*columns: str) -> Column:
 
 
 def iso_utc(time: Column) -> Column:
-    """A UTC wall-clock time as ISO-8601 text with microseconds and offset."""
-    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """A zone-less UTC time as ISO-8601 text with microseconds and offset.
+
+    Built from the plain text of the time: ``date_format`` would move it through
+    the session time zone, which skips an hour a year.
+    """
+    text = time.cast("timestamp_ntz").cast("string")
+    with_point = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".")))
+    return F.concat(F.translate(F.rpad(with_point, 26, "0"), " ", "T"), F.lit("+00:00"))

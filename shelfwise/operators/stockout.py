@@ -21,6 +21,7 @@ from shelfwise.schema import (
 
 _WEIGHT = "_weight"
 _VECTOR = "_vector"
+_POINTS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,9 @@ def train_stockout(training: DataFrame, c: float = 1.0, max_iter: int = 1000, to
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        rows = _checked_row_count(points)
+        rows, points_count = _checked_counts(points)
+        # Every iteration is one pass; a small merged set needs few tasks for it.
+        tasks = points_count // _POINTS_PER_TASK + 1
         fitted = LogisticRegression(
             featuresCol=_VECTOR,
             labelCol=LABEL_COLUMN,
@@ -88,15 +91,17 @@ def train_stockout(training: DataFrame, c: float = 1.0, max_iter: int = 1000, to
             fitIntercept=True,
             maxIter=max_iter,
             tol=tol,
-        ).fit(points)
+        ).fit(points.coalesce(tasks))
     finally:
         points.unpersist()
     return StockoutModel(tuple(float(w) for w in fitted.coefficients), float(fitted.intercept), rows)
 
 
-def _checked_row_count(points: DataFrame) -> int:
+def _checked_counts(points: DataFrame) -> tuple[int, int]:
+    """Rows behind the merged points, and the points; two labels must be there."""
     row = points.agg(
         F.sum(_WEIGHT).alias("rows"),
+        F.count(F.lit(1)).alias("points"),
         F.min(LABEL_COLUMN).alias("low"),
         F.max(LABEL_COLUMN).alias("high"),
     ).first()
@@ -104,7 +109,7 @@ def _checked_row_count(points: DataFrame) -> int:
         raise ValueError("the training set is empty")
     if row["low"] == row["high"]:
         raise ValueError(f"the training set holds only label {row['low']:g}; two are needed")
-    return int(row["rows"])
+    return int(row["rows"]), row["points"]
 
 
 def _probability(model: StockoutModel) -> Column:

@@ -21,8 +21,6 @@ from shelfwise.operators.stockout import (
 )
 from shelfwise.sources.tables import full_refresh, read_table
 
-_MEMBERS_SCHEMA = "member_of int, date date, store_id string, product_id string"
-
 
 @dataclass(frozen=True)
 class Lakehouse:
@@ -100,7 +98,7 @@ def refresh(
 
     members_path = tables.path("gold.dimension_members")
     full_refresh(D.dimension_members(bronze), members_path)
-    members = spark.read.schema(_MEMBERS_SCHEMA).parquet(members_path)
+    members = read_table(spark, members_path, S.DIMENSION_MEMBERS_SCHEMA)
     full_refresh(D.members_to_dim_date(members), tables.path("gold.dim_date"))
     full_refresh(D.members_to_dim_store(members), tables.path("gold.dim_store"))
     full_refresh(D.members_to_dim_product(members), tables.path("gold.dim_product"))

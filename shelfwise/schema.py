@@ -37,44 +37,63 @@ LABEL_COLUMN = "stockout_risk_label"
 PROBABILITY_COLUMN = "pred_stockout_prob"
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT = T.StringType()
+_DATE = T.DateType()
+_TIME = T.TimestampNTZType()
+_NUMBER = T.DecimalType(38, 0)
+_INT = T.IntegerType()
+_LONG = T.LongType()
+_VARIANT = T.VariantType()
 
 
-BRONZE_SCHEMA = _struct("ingested_at timestamp_ntz, event variant")
-REJECTS_SCHEMA = _struct("ingested_at timestamp_ntz, line string, source_file string")
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+BRONZE_SCHEMA = _struct(ingested_at=_TIME, event=_VARIANT)
 BRONZE_LOG_SCHEMA = _struct(
-    "ingested_at timestamp_ntz, event variant, line string, source_file string, status string"
+    ingested_at=_TIME, event=_VARIANT, line=_TEXT, source_file=_TEXT, status=_TEXT
 )
 SILVER_EVENTS_SCHEMA = _struct(
-    "event_time timestamp_ntz, event_date date, store_id string, product_id string, "
-    "qty decimal(38,0), on_hand decimal(38,0), event_type string"
+    event_time=_TIME,
+    event_date=_DATE,
+    store_id=_TEXT,
+    product_id=_TEXT,
+    qty=_NUMBER,
+    on_hand=_NUMBER,
+    event_type=_TEXT,
 )
 SALES_EVENTS_SCHEMA = _struct(
-    "event_time timestamp_ntz, event_date date, store_id string, product_id string, "
-    "qty decimal(38,0)"
+    event_time=_TIME, event_date=_DATE, store_id=_TEXT, product_id=_TEXT, qty=_NUMBER
 )
 INVENTORY_EVENTS_SCHEMA = _struct(
-    "event_time timestamp_ntz, event_date date, store_id string, product_id string, "
-    "on_hand decimal(38,0)"
+    event_time=_TIME, event_date=_DATE, store_id=_TEXT, product_id=_TEXT, on_hand=_NUMBER
+)
+DIM_DATE_SCHEMA = _struct(date=_DATE, year=_INT, month=_INT, day=_INT, day_of_week=_INT)
+DIM_STORE_SCHEMA = _struct(store_id=_TEXT)
+DIM_PRODUCT_SCHEMA = _struct(product_id=_TEXT)
+DIMENSION_MEMBERS_SCHEMA = _struct(
+    member_of=_INT, date=_DATE, store_id=_TEXT, product_id=_TEXT
 )
-DIM_DATE_SCHEMA = _struct("date date, year int, month int, day int, day_of_week int")
-DIM_STORE_SCHEMA = _struct("store_id string")
-DIM_PRODUCT_SCHEMA = _struct("product_id string")
 FACT_SALES_SCHEMA = _struct(
-    "date date, store_id string, product_id string, "
-    "total_qty_sold decimal(38,0), sales_event_count bigint"
+    date=_DATE, store_id=_TEXT, product_id=_TEXT, total_qty_sold=_NUMBER, sales_event_count=_LONG
 )
 FACT_INVENTORY_SCHEMA = _struct(
-    "date date, store_id string, product_id string, "
-    "on_hand_latest decimal(38,0), last_inventory_time timestamp_ntz"
+    date=_DATE, store_id=_TEXT, product_id=_TEXT, on_hand_latest=_NUMBER, last_inventory_time=_TIME
 )
 FEATURES_SCHEMA = _struct(
-    "date date, store_id string, product_id string, total_qty_sold decimal(38,0), "
-    "sales_event_count bigint, on_hand_latest decimal(38,0), stockout_risk_label int"
+    date=_DATE,
+    store_id=_TEXT,
+    product_id=_TEXT,
+    total_qty_sold=_NUMBER,
+    sales_event_count=_LONG,
+    on_hand_latest=_NUMBER,
+    stockout_risk_label=_INT,
 )
 PREDICTIONS_SCHEMA = _struct(
-    "total_qty_sold decimal(38,0), sales_event_count decimal(38,0), "
-    "on_hand_latest decimal(38,0), stockout_risk_label decimal(38,0), "
-    "pred_stockout_prob double"
+    total_qty_sold=_NUMBER,
+    sales_event_count=_NUMBER,
+    on_hand_latest=_NUMBER,
+    stockout_risk_label=_NUMBER,
+    pred_stockout_prob=T.DoubleType(),
 )

@@ -6,11 +6,16 @@ its kind and reaches the dimensions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import encode_json, iso_utc
+from shelfwise.operators import parse_lines
 from shelfwise.schema import EVENT_FIELDS, INVENTORY, NUMBER, SALE
+from shelfwise.session import shared_dir
+from shelfwise.sources.tables import read_bronze, write_bronze
 
 # Fixed values.
 PRODUCTS = ("milk", "bread", "eggs", "soap", "shampoo")
@@ -40,7 +45,7 @@ def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         kind.alias("event_type"),
         iso_utc(F.col("ts")).alias("event_time"),
-        F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
+        F.to_date("ts").cast("string").alias("event_date"),
         F.concat(F.lit("store_"), F.col("user_id") % 3 + 1).alias("store_id"),
         product.alias("product_id"),
         F.when(kind == SALE, k % 4 + 1).alias("qty"),
@@ -70,14 +75,24 @@ def raw_lines_with_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_lines(events.withColumn("qty", F.coalesce(qty, F.col("qty").cast("string"))))
 
 
-def bronze(lines: DataFrame) -> DataFrame:
-    from shelfwise.operators import bronze_events, parse_lines
+_written: dict[tuple[str, str, str], str] = {}
 
-    return bronze_events(parse_lines(lines))
 
+def bronze(
+    spark: SparkSession,
+    sf_dir: str,
+    lines: Callable[[SparkSession, str], DataFrame] = raw_lines,
+) -> DataFrame:
+    """The derived lines as a written Bronze table, as the operators after it find them.
 
-def derived_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze(raw_lines(spark, sf_dir))
+    Written once per application and data set into the shared folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, lines.__name__)
+    if key not in _written:
+        path = shared_dir(spark, f"bronze-{lines.__name__}")
+        write_bronze(parse_lines(lines(spark, sf_dir)), path)
+        _written[key] = path
+    return read_bronze(spark, _written[key])
 
 
 def lineitem_sales(spark: SparkSession, sf_dir: str, store: str, product: str) -> DataFrame:

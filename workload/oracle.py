@@ -228,6 +228,7 @@ ORACLE_SQL: dict[str, str] = {
     "raw_landing_quarantine": _FROM_TEXT
     + f"SELECT {_CUT_LINE} AS line FROM text WHERE kind = '{BROKEN_KIND}'",
     "bronze_events_typed": _FROM_RAW + f"SELECT {_TYPED} FROM raw",
+    "bronze_parse_lines": _FROM_RAW + f"SELECT {_TYPED} FROM raw",
     "bronze_load_skip_malformed": _FROM_RAW
     + f"SELECT {_TYPED} FROM raw WHERE kind <> '{BROKEN_KIND}'",
     "bronze_rejected_lines": _FROM_TEXT

@@ -51,11 +51,16 @@ def publish_encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_events_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(W.derived_bronze(spark, sf_dir))
+    return _typed(W.bronze(spark, sf_dir))
+
+
+def bronze_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines parsed and typed in one plan, without a table in between."""
+    return _typed(O.bronze_events(O.parse_lines(W.raw_lines(spark, sf_dir))))
 
 
 def bronze_load_skip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(W.bronze(W.raw_lines_with_broken(spark, sf_dir)))
+    return _typed(W.bronze(spark, sf_dir, W.raw_lines_with_broken))
 
 
 def bronze_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,25 +147,25 @@ def raw_landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.as_bigint(O.silver_sales(W.derived_bronze(spark, sf_dir)), "qty")
+    return W.as_bigint(O.silver_sales(W.bronze(spark, sf_dir)), "qty")
 
 
 def silver_inventory_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.as_bigint(O.silver_inventory(W.derived_bronze(spark, sf_dir)), "on_hand")
+    return W.as_bigint(O.silver_inventory(W.bronze(spark, sf_dir)), "on_hand")
 
 
 def silver_events_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.as_bigint(O.silver_events(W.derived_bronze(spark, sf_dir)), "qty", "on_hand")
+    return W.as_bigint(O.silver_events(W.bronze(spark, sf_dir)), "qty", "on_hand")
 
 
 def silver_sales_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales of readable quantity where some quantities are words."""
-    bronze = W.bronze(W.raw_lines_with_bad_values(spark, sf_dir))
+    bronze = W.bronze(spark, sf_dir, W.raw_lines_with_bad_values)
     return W.as_bigint(O.silver_sales(bronze, on_cast_error="quarantine"), "qty")
 
 
 def silver_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failures = O.cast_failures(W.bronze(W.raw_lines_with_bad_values(spark, sf_dir)))
+    failures = O.cast_failures(W.bronze(spark, sf_dir, W.raw_lines_with_bad_values))
     return failures.select(
         field("event_time"),
         field("store_id"),
@@ -174,28 +179,28 @@ def silver_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.dim_date(W.derived_bronze(spark, sf_dir))
+    return O.dim_date(W.bronze(spark, sf_dir))
 
 
 def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.dim_store(W.derived_bronze(spark, sf_dir))
+    return O.dim_store(W.bronze(spark, sf_dir))
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.dim_product(W.derived_bronze(spark, sf_dir))
+    return O.dim_product(W.bronze(spark, sf_dir))
 
 
 def dimension_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three dimensions from one pass."""
-    return O.dimension_members(W.derived_bronze(spark, sf_dir))
+    return O.dimension_members(W.bronze(spark, sf_dir))
 
 
 def _sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.fact_sales_daily(O.silver_sales(W.derived_bronze(spark, sf_dir)))
+    return O.fact_sales_daily(O.silver_sales(W.bronze(spark, sf_dir)))
 
 
 def _inventory_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.fact_inventory_daily(O.silver_inventory(W.derived_bronze(spark, sf_dir)))
+    return O.fact_inventory_daily(O.silver_inventory(W.bronze(spark, sf_dir)))
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,6 +358,7 @@ QUERIES: dict[str, Query] = {
         raw_landing_lines,
         raw_landing_quarantine,
         bronze_events_typed,
+        bronze_parse_lines,
         bronze_load_skip_malformed,
         bronze_rejected_lines,
         bronze_incremental_stream,
