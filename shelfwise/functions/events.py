@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.schema import EVENT_FIELDS
 
 _JSON_SPACE = " \t\r\n"
+_ISO_TYPES = ("date", "timestamp_ntz")
 
 
 def decode_text(value: Column) -> Column:
@@ -39,16 +40,34 @@ def _path(name: str) -> str:
     return f"$.{name}"
 
 
+def _text(name: str, event: str) -> Column:
+    return F.try_variant_get(event, _path(name), "string")
+
+
+def _from_iso(name: str, event: str) -> Column:
+    """A date or time read from its ISO text; NULL for any other value."""
+    text = _text(name, event)
+    is_iso = F.substring(text, 5, 1) == F.lit("-")
+    return F.when(is_iso, text.try_cast(EVENT_FIELDS[name]))
+
+
 def field(name: str, event: str = "event") -> Column:
     """A field of the event in its declared type; a value that cannot be cast fails.
 
-    The scan only extracts the raw field. A typed extraction would be evaluated
-    inside the Parquet reader for every row, also for those a filter drops, and
-    so a bad value of an unrelated event would fail the query.
+    The scan extracts only text or the raw value, and the cast follows on the rows
+    that are left. A strict typed extraction would run inside the Parquet reader
+    for every row, also for those a filter drops, and so a bad value of an
+    unrelated event would fail the query.
     """
     data_type = EVENT_FIELDS[name]
     if data_type == "string":
         column = F.variant_get(event, _path(name), "string")
+    elif data_type in _ISO_TYPES:
+        text = _text(name, event)
+        failure = F.raise_error(F.concat(F.lit(f"{name} is not a {data_type}: "), text))
+        column = F.coalesce(
+            _from_iso(name, event), F.when(text.isNotNull(), failure.cast(data_type))
+        )
     else:
         column = F.variant_get(F.variant_get(event, _path(name), "variant"), "$", data_type)
     return column.alias(name)
@@ -56,14 +75,15 @@ def field(name: str, event: str = "event") -> Column:
 
 def field_or_null(name: str, event: str = "event") -> Column:
     """Like ``field`` but NULL where the value cannot be cast."""
-    return F.try_variant_get(event, _path(name), EVENT_FIELDS[name]).alias(name)
+    data_type = EVENT_FIELDS[name]
+    if data_type in _ISO_TYPES:
+        return _from_iso(name, event).alias(name)
+    return F.try_variant_get(event, _path(name), data_type).alias(name)
 
 
 def field_failed(name: str, event: str = "event") -> Column:
     """Whether the field holds a value (other than JSON null) that cannot be cast."""
-    return field_or_null(name, event).isNull() & F.try_variant_get(
-        event, _path(name), "string"
-    ).isNotNull()
+    return field_or_null(name, event).isNull() & _text(name, event).isNotNull()
 
 
 def any_field_failed(names: tuple[str, ...], event: str = "event") -> Column:

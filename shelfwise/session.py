@@ -15,8 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
-    # Partitioned writes keep this many files open before they sort instead.
-    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 _fallback_root: str | None = None

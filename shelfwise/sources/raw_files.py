@@ -37,10 +37,10 @@ def stream_raw(
     path: str,
     name_glob: str = RAW_FILE_GLOB,
     path_regex: str | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Like ``scan_raw`` as a stream that reads every file once."""
     options = {**_options(name_glob), "maxFileAge": _REMEMBER_FILES}
     if max_bytes_per_trigger is not None:
-        options["maxBytesPerTrigger"] = max_bytes_per_trigger
+        options["maxBytesPerTrigger"] = str(max_bytes_per_trigger)
     return _lines(spark.readStream.options(**options).text(path), path_regex)

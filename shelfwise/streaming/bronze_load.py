@@ -18,7 +18,7 @@ def load_bronze(
     checkpoint: str,
     name_glob: str = RAW_FILE_GLOB,
     path_regex: str | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Load every file below ``raw`` once; run again, it loads only new files.

@@ -1,0 +1,105 @@
+"""Training against an independent solver, scoring against Spark's own model."""
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from shelfwise import operators as O
+from shelfwise import schema as S
+from shelfwise.schema import FEATURE_COLUMNS, LABEL_COLUMN
+from workload import queries as Q
+
+COLUMNS = "total_qty_sold int, sales_event_count int, on_hand_latest int, stockout_risk_label int"
+
+
+def newton(points, c=1.0, steps=50):
+    data = np.array(points, dtype=float)
+    x, y = np.c_[data[:, :3], np.ones(len(data))], data[:, 3]
+    penalty = np.diag([1.0, 1.0, 1.0, 0.0])
+    w = np.zeros(4)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ w))
+        gradient = c * x.T @ (p - y) + penalty @ w
+        w -= np.linalg.solve(c * (x.T * (p * (1 - p))) @ x + penalty, gradient)
+    return w
+
+
+@pytest.fixture(scope="module")
+def points():
+    rng = np.random.default_rng(7)
+    qty, events, stock = rng.integers(1, 30, 300), rng.integers(1, 9, 300), rng.integers(0, 12, 300)
+    label = (stock + rng.normal(0, 2, 300) <= 3).astype(int)
+    # A third of all rows are copies of one row.
+    copies = [(5, 2, 1, 1)] * 150
+    return [tuple(int(v) for v in row) for row in zip(qty, events, stock, label)] + copies
+
+
+@pytest.mark.parametrize("c", [1.0, 0.01])
+def test_weights_equal_newton(spark, points, c):
+    model = O.train_stockout(spark.createDataFrame(points, COLUMNS), c=c)
+    assert model.rows == 450
+    np.testing.assert_allclose([*model.coefficients, model.intercept], newton(points, c), atol=1e-6)
+
+
+def test_known_weights_at_sf001(spark):
+    training = O.training_set(Q._features(spark, "/root/testdata/sf0.01"))
+    model = O.train_stockout(training)
+    expected = [-0.00515806, -0.03615185, -1.28446469, 2.8867733]
+    assert model.rows == 445
+    np.testing.assert_allclose([*model.coefficients, model.intercept], expected, atol=1e-7)
+
+
+def test_score_equals_transform(spark, points):
+    df = spark.createDataFrame(points, COLUMNS)
+    model = O.train_stockout(df)
+    assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="x")
+    fitted = LogisticRegression(
+        featuresCol="x", labelCol=LABEL_COLUMN, regParam=1 / 450, standardization=False,
+        maxIter=1000, tol=1e-12,
+    ).fit(assembler.transform(df))
+    other = fitted.transform(assembler.transform(df)).select(
+        *FEATURE_COLUMNS, vector_to_array("probability")[1].alias("p")
+    )
+    joined = O.score(df, model).distinct().join(other.distinct(), list(FEATURE_COLUMNS))
+    gap = joined.agg(F.max(F.abs(F.col("p") - F.col("pred_stockout_prob")))).first()[0]
+    assert gap < 1e-6
+
+
+def test_extreme_scores_stay_in_range(spark):
+    df = spark.createDataFrame([(0, 0, 10**6, 0), (0, 0, -(10**6), 1)], COLUMNS)
+    scored = O.score(df, O.StockoutModel((0.0, 0.0, -5.0), 0.0, 2)).collect()
+    assert [r.pred_stockout_prob for r in scored] == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_one_label_is_refused(spark, label):
+    with pytest.raises(ValueError, match="only label"):
+        O.train_stockout(spark.createDataFrame([(1, 1, 1, label), (2, 1, 1, label)], COLUMNS))
+
+
+def test_empty_training_set_is_refused(spark):
+    with pytest.raises(ValueError, match="empty"):
+        O.train_stockout(spark.createDataFrame([], COLUMNS))
+
+
+def test_missing_inventory_modes(spark):
+    data = [(None, "s", "p", 1, 1, None, 0), (None, "s", "q", 2, 1, 5, 0), (None, "s", "r", 3, 1, 1, None)]
+    features = spark.createDataFrame(
+        data, "date date, store_id string, product_id string, " + COLUMNS
+    )
+    assert [r.on_hand_latest for r in O.training_set(features).orderBy("total_qty_sold").collect()] == [0, 5]
+    assert [r.total_qty_sold for r in O.training_set(features, "drop").collect()] == [2]
+    assert O.training_set(features, keep_keys=True).columns[:3] == ["date", "store_id", "product_id"]
+    with pytest.raises(ValueError):
+        O.training_set(features, "guess")
+
+
+def test_prediction_schema(spark, points):
+    scored = O.score(spark.createDataFrame(points, COLUMNS), Q.FIXED_MODEL)
+    schema = O.predictions(scored).schema
+    assert [(f.name, f.dataType) for f in schema] == [
+        (f.name, f.dataType) for f in S.PREDICTIONS_SCHEMA
+    ]

@@ -1,0 +1,347 @@
+"""Operators on the sample and edge fixtures, where every result is known."""
+
+import random
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise import operators as O
+from shelfwise import schema as S
+from shelfwise.functions import calendar_parts, field, field_or_null, iso_utc
+from tests.conftest import rows
+
+D21, D22, D23 = date(2026, 2, 21), date(2026, 2, 22), date(2026, 2, 23)
+
+
+def features(bronze, **kwargs):
+    sales = O.fact_sales_daily(O.silver_sales(bronze))
+    return O.features_daily(sales, O.fact_inventory_daily(O.silver_inventory(bronze)), **kwargs)
+
+
+# --- the 35-event sample -------------------------------------------------------
+
+
+def test_sample_silver_counts(sample):
+    assert O.silver_sales(sample).count() == 28
+    assert O.silver_inventory(sample).count() == 7
+    assert O.silver_events(sample).count() == 35
+
+
+def test_sample_features(sample):
+    expected = {
+        ("store_1", "bread"): (4, 1, 7, 0),
+        ("store_1", "eggs"): (6, 3, None, 0),
+        ("store_1", "milk"): (6, 2, 11, 0),
+        ("store_1", "shampoo"): (4, 1, None, 0),
+        ("store_1", "soap"): (8, 3, None, 0),
+        ("store_2", "bread"): (3, 1, None, 0),
+        ("store_2", "eggs"): (5, 2, None, 0),
+        ("store_2", "milk"): (3, 1, 19, 0),
+        ("store_2", "soap"): (9, 4, None, 0),
+        ("store_3", "bread"): (4, 1, None, 0),
+        ("store_3", "milk"): (14, 5, None, 0),
+        ("store_3", "shampoo"): (8, 3, None, 0),
+        ("store_3", "soap"): (3, 1, 0, 1),
+    }
+    got = {(r[1], r[2]): r[3:] for r in rows(features(sample))}
+    assert got == expected
+
+
+def test_sample_inventory_fact(sample):
+    def at(second, micro):
+        return datetime(2026, 2, 18, 4, 18, second, micro)
+
+    expected = {
+        ("store_1", "bread", 7, at(44, 964923)),
+        ("store_1", "milk", 11, at(41, 735002)),
+        ("store_2", "milk", 19, at(11, 642393)),
+        ("store_3", "eggs", 16, at(59, 809386)),
+        ("store_3", "soap", 0, at(34, 933710)),
+    }
+    fact = O.fact_inventory_daily(O.silver_inventory(sample))
+    assert {r[1:] for r in rows(fact)} == expected
+
+
+def test_sample_dimensions(sample):
+    assert rows(O.dim_date(sample)) == [(date(2026, 2, 18), 2026, 2, 18, 3)]
+    assert rows(O.dim_store(sample)) == [("store_1",), ("store_2",), ("store_3",)]
+    assert O.dim_product(sample).count() == 5
+
+
+# --- the edge lines ------------------------------------------------------------
+
+
+def test_bronze_and_rejects(spark):
+    from tests.fixtures import EDGE_LINES
+
+    parsed = O.parse_lines(spark.createDataFrame([(t,) for t in EDGE_LINES], "value string"))
+    assert O.bronze_events(parsed).count() == 13
+    assert sorted(r.line for r in O.rejected_lines(parsed).collect()) == ["not json", '{"a":1,"a":2}']
+
+
+def test_edge_dimensions(edges):
+    assert [(r[0], r[4]) for r in rows(O.dim_date(edges))] == [(D21, 6), (D22, 0), (D23, 1)]
+    assert rows(O.dim_store(edges)) == [("s1",), ("s9",), (None,)]
+    assert rows(O.dim_store(edges, drop_null_keys=True)) == [("s1",), ("s9",)]
+    assert rows(O.dim_product(edges)) == [("p1",), ("p2",), ("p9",)]
+
+
+def test_one_pass_dimensions_equal_single_ones(edges, sample, stored):
+    for number, bronze in enumerate((edges, sample)):
+        for source in (bronze, stored(bronze, f"b{number}")):
+            members = O.dimension_members(source)
+            assert rows(O.members_to_dim_date(members)) == rows(O.dim_date(bronze))
+            assert rows(O.members_to_dim_store(members)) == rows(O.dim_store(bronze))
+            assert rows(O.members_to_dim_product(members)) == rows(O.dim_product(bronze))
+
+
+def test_missing_field_adds_no_member_but_json_null_does(make_bronze):
+    assert rows(O.dim_store(make_bronze(['{"product_id":"p"}']))) == []
+    assert rows(O.dim_store(make_bronze(['{"store_id":null}', '{"store_id":null}']))) == [(None,)]
+    members = O.dimension_members(make_bronze(['{"product_id":"p"}', '{"store_id":null}']))
+    assert rows(O.members_to_dim_store(members)) == [(None,)]
+    assert rows(O.members_to_dim_date(members)) == []
+
+
+def test_edge_sales_fact(edges):
+    assert rows(O.fact_sales_daily(O.silver_sales(edges))) == [
+        (D21, "s1", "p1", 5, 2),
+        (D21, "s1", "p2", 3, 1),
+        (D22, None, "p1", 1, 2),
+    ]
+
+
+def test_edge_inventory_fact(edges):
+    assert rows(O.fact_inventory_daily(O.silver_inventory(edges))) == [
+        (D21, "s1", "p1", 2, datetime(2026, 2, 21, 18)),
+        (D21, "s1", "p2", 7, None),
+        (D22, None, "p1", 0, datetime(2026, 2, 22, 18)),
+    ]
+
+
+def test_edge_features(edges):
+    assert rows(features(edges)) == [
+        (D21, "s1", "p1", 5, 2, 2, 1),
+        (D21, "s1", "p2", 3, 1, 7, 0),
+        (D22, None, "p1", 1, 2, None, 0),
+    ]
+    assert [r[-1] for r in rows(features(edges, threshold=7))] == [1, 1, 0]
+
+
+def test_offset_is_dropped_and_wall_clock_kept(edges):
+    times = [r[0] for r in rows(O.silver_sales(edges).where("product_id = 'p2'"))]
+    assert times == [datetime(2026, 2, 21, 12)]
+
+
+def test_sum_of_missing_quantities_is_null(make_bronze):
+    lines = ['{"event_type":"sale","event_date":"2026-02-21","store_id":"s","product_id":"p"}'] * 2
+    fact = O.fact_sales_daily(O.silver_sales(make_bronze(lines)))
+    assert rows(fact) == [(D21, "s", "p", None, 2)]
+
+
+# --- casts ---------------------------------------------------------------------
+
+GOOD = {"event_type": "sale", "event_date": "2026-02-21", "store_id": "s", "product_id": "p", "qty": 4}
+BAD_QTY = {**GOOD, "qty": "x"}
+OTHER_KIND = {"event_type": "inventory", "event_date": "2026-02-21", "qty": "x", "on_hand": 3}
+UNKNOWN_KIND = {"event_type": "return", "event_date": "someday", "event_time": 5, "qty": "x", "on_hand": "y"}
+
+
+def test_bad_value_fails_strictly(make_bronze, stored):
+    for bronze in (make_bronze([GOOD, BAD_QTY]), stored(make_bronze([GOOD, BAD_QTY]))):
+        with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+            O.silver_sales(bronze).collect()
+
+
+@pytest.mark.parametrize(
+    "bad", [{"event_date": "2026-13-01"}, {"event_date": 2026}, {"event_time": "noon"}, {"event_time": [1]}]
+)
+def test_bad_date_or_time_fails_strictly(make_bronze, bad):
+    bronze = make_bronze([{**GOOD, **bad}])
+    with pytest.raises(Exception, match="is not a"):
+        O.silver_sales(bronze).collect()
+    assert O.silver_sales(bronze, on_cast_error="quarantine").count() == 0
+    assert O.cast_failures(bronze).count() == 1
+
+
+def test_bad_value_of_another_kind_does_not_matter(make_bronze, stored):
+    """Also when all events share one Parquet file and the scan extracts the fields."""
+    bronze = make_bronze([GOOD, OTHER_KIND, UNKNOWN_KIND])
+    for source in (bronze, stored(bronze)):
+        assert rows(O.fact_sales_daily(O.silver_sales(source))) == [(D21, "s", "p", 4, 1)]
+        assert O.silver_inventory(source).count() == 1
+        assert O.silver_events(source).count() == 2
+        assert rows(features(source)) == [(D21, "s", "p", 4, 1, None, 0)]
+
+
+def test_quarantine_splits_the_events(make_bronze, stored):
+    bronze = make_bronze([GOOD, BAD_QTY, OTHER_KIND, UNKNOWN_KIND, {**OTHER_KIND, "on_hand": [1]}])
+    for source in (bronze, stored(bronze)):
+        assert O.silver_sales(source, on_cast_error="quarantine").count() == 1
+        assert O.silver_inventory(source, on_cast_error="quarantine").count() == 1
+        assert O.silver_events(source, on_cast_error="quarantine").count() == 2
+        assert O.cast_failures(source).count() == 2
+
+
+def test_unknown_cast_mode_is_refused(sample):
+    with pytest.raises(ValueError):
+        O.silver_sales(sample, on_cast_error="ignore")
+
+
+def test_number_type_rounds(make_bronze):
+    bronze = make_bronze(['{"qty":2.5}', '{"qty":-2.5}', '{"qty":"3"}', '{"qty":1e3}', '{"qty":null}'])
+    values = [r[0] for r in bronze.select(field("qty")).collect()]
+    assert values == [Decimal(3), Decimal(-3), Decimal(3), Decimal(1000), None]
+    assert bronze.select(field_or_null("qty")).schema["qty"].dataType.simpleString() == S.NUMBER
+
+
+def test_path_keys_are_case_sensitive(make_bronze):
+    assert rows(O.dim_store(make_bronze(['{"STORE_ID":"s"}']))) == []
+
+
+def test_schemas(sample):
+    sales = O.fact_sales_daily(O.silver_sales(sample))
+    inventory = O.fact_inventory_daily(O.silver_inventory(sample))
+
+    def types(schema):
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    assert types(O.silver_sales(sample).schema) == types(S.SALES_EVENTS_SCHEMA)
+    assert types(O.silver_inventory(sample).schema) == types(S.INVENTORY_EVENTS_SCHEMA)
+    assert types(O.silver_events(sample).schema) == types(S.SILVER_EVENTS_SCHEMA)
+    assert types(sales.schema) == types(S.FACT_SALES_SCHEMA)
+    assert types(inventory.schema) == types(S.FACT_INVENTORY_SCHEMA)
+    assert types(O.features_daily(sales, inventory).schema) == types(S.FEATURES_SCHEMA)
+    assert types(O.dim_date(sample).schema) == types(S.DIM_DATE_SCHEMA)
+
+
+@pytest.mark.parametrize("kept", ["none", "sale", "inventory"])
+def test_empty_inputs_give_empty_tables(sample, kept):
+    bronze = sample.where(F.variant_get("event", "$.event_type", "string") == kept)
+    result = features(bronze)
+    assert result.columns == S.FEATURES_SCHEMA.fieldNames()
+    assert result.count() == (13 if kept == "sale" else 0)
+
+
+# --- latest reading against brute force ----------------------------------------
+
+
+def _readings(seed, size):
+    rng = random.Random(seed)
+    times = [None, *[datetime(2026, 2, 21, 10, m, 0, u) for m in (0, 1, 59) for u in (0, 1, 999999)]]
+    times += [datetime(1, 1, 1), datetime(9999, 12, 31, 23, 59, 59, 999999), datetime(1969, 12, 31, 23)]
+    stock = [None, *[Decimal(n) for n in (-5, 0, 1, 2, 20, 10**6, 10**11)]]
+    for _ in range(size):
+        # A third of all rows fall on one key.
+        store = "hot" if rng.random() < 0.33 else rng.choice(["a", "b", None])
+        yield (rng.choice(times), D21, store, rng.choice(["p", "q"]), rng.choice(stock))
+
+
+def _expected_latest(readings):
+    best = {}
+    for time, day, store, product, stock in readings:
+        order = (
+            time is None,
+            time or datetime(1, 1, 1),
+            stock is not None,
+            -stock if stock is not None else 0,
+        )
+        key = (day, store, product)
+        if key not in best or order > best[key][0]:
+            best[key] = (order, None if stock is None else int(stock), time)
+    return sorted(((*key, stock, time) for key, (_, stock, time) in best.items()), key=repr)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Toronto"])
+@pytest.mark.parametrize("size", [1, 12, 400])
+def test_latest_reading_equals_brute_force(spark, size, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for seed in range(4):
+            readings = list(_readings(seed, size))
+            df = spark.createDataFrame(readings, S.INVENTORY_EVENTS_SCHEMA).repartition(3)
+            assert rows(O.fact_inventory_daily(df)) == _expected_latest(readings)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_latest_reading_keeps_order_over_a_clock_change(spark):
+    """02:30 does not exist on this day in the session zone; the reading at 03:10 is later."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        day = date(2026, 3, 8)
+        readings = [
+            (datetime(2026, 3, 8, 2, 30), day, "s", "p", Decimal(1)),
+            (datetime(2026, 3, 8, 3, 10), day, "s", "p", Decimal(9)),
+        ]
+        df = spark.createDataFrame(readings, S.INVENTORY_EVENTS_SCHEMA)
+        assert rows(O.fact_inventory_daily(df)) == [(day, "s", "p", 9, datetime(2026, 3, 8, 3, 10))]
+        text = df.select(iso_utc(F.col("event_time")).alias("t")).orderBy("t").first()[0]
+        assert text == "2026-03-08T02:30:00.000000+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_very_large_stock_is_kept_whole(spark):
+    big = 10**37
+    readings = [(datetime(2026, 2, 21, h), D21, "s", "p", Decimal(big + h)) for h in (1, 3, 2)]
+    df = spark.createDataFrame(readings, S.INVENTORY_EVENTS_SCHEMA)
+    assert rows(O.fact_inventory_daily(df))[0][3] == big + 3
+
+
+def test_hash_latest_equals_window_latest(sample, edges):
+    for bronze in (sample, edges):
+        inventory = O.silver_inventory(bronze)
+        order = [F.col("event_time").desc_nulls_first(), F.col("on_hand").asc_nulls_last()]
+        window = O.latest_per_key(inventory, ["event_date", "store_id", "product_id"], order)
+        columns = ("event_date", "store_id", "product_id", "on_hand", "event_time")
+        assert rows(window.select(*columns)) == rows(O.fact_inventory_daily(inventory))
+
+
+# --- invariants ----------------------------------------------------------------
+
+
+def test_fact_invariants(sample):
+    sales = O.silver_sales(sample)
+    fact = O.fact_sales_daily(sales)
+    total = fact.agg(F.sum("total_qty_sold"), F.sum("sales_event_count")).first()
+    assert (int(total[0]), total[1]) == (77, sales.count())
+    assert fact.select("date", "store_id", "product_id").distinct().count() == fact.count()
+    table = features(sample)
+    assert table.count() == fact.count()
+    assert table.where("(on_hand_latest <= 2) <> (stockout_risk_label = 1)").count() == 0
+
+
+def test_input_order_does_not_matter(edges):
+    assert rows(features(edges.orderBy(F.rand(3)))) == rows(features(edges.repartition(5)))
+
+
+# --- ranking and calendar ------------------------------------------------------
+
+
+def test_recent_sales_puts_missing_dates_first(spark):
+    data = [(D21, "s", "p"), (None, "s", "p"), (D23, "t", "p"), (D23, "s", "p")]
+    df = spark.createDataFrame(data, "date date, store_id string, product_id string")
+    assert [tuple(r) for r in O.recent_sales(df, 3).collect()] == [
+        (None, "s", "p"),
+        (D23, "s", "p"),
+        (D23, "t", "p"),
+    ]
+
+
+def test_riskiest_and_report(spark):
+    data = [(1, 1, 0, 1, 0.9), (2, 1, 0, 1, None), (3, 1, 0, 0, 0.9), (4, 1, 5, 0, 0.1)]
+    columns = "total_qty_sold int, sales_event_count int, on_hand_latest int, stockout_risk_label int"
+    df = spark.createDataFrame(data, columns + ", pred_stockout_prob double")
+    assert [r[0] for r in O.riskiest(df, 3).collect()] == [2, 1, 3]
+    count, top = O.run_report(df, 3)
+    assert count == 4
+    assert [r[0] for r in top.collect()] == [1, 3, 4]
+
+
+def test_day_of_week_starts_at_sunday(spark):
+    df = spark.createDataFrame([(D21,), (D22,), (D23,)], "d date")
+    parts = df.select("d", *calendar_parts(F.col("d"))).orderBy("d").collect()
+    assert [tuple(p)[1:] for p in parts] == [(2026, 2, 21, 6), (2026, 2, 22, 0), (2026, 2, 23, 1)]

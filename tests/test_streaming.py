@@ -1,0 +1,210 @@
+"""Landing, Bronze load, publishing and the topic options."""
+
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.functions import utc_today
+from shelfwise.sources import (
+    kafka_read_options,
+    kafka_write_options,
+    read_bronze,
+    read_rejects,
+    scan_raw,
+)
+from shelfwise.streaming import (
+    LANDED_FILES,
+    encode_events,
+    land_raw,
+    landed_lines,
+    load_bronze,
+    quarantined_lines,
+)
+from tests.fixtures import EDGE_LINES, SAMPLE_EVENTS
+
+SAMPLE_LINES = [json.dumps(event) for event in SAMPLE_EVENTS]
+
+
+@pytest.fixture
+def load(spark, tmp_path):
+    def run(**kwargs):
+        load_bronze(
+            spark,
+            str(tmp_path / "raw"),
+            str(tmp_path / "bronze"),
+            str(tmp_path / "checkpoint"),
+            **kwargs,
+        ).awaitTermination()
+        return read_bronze(spark, str(tmp_path / "bronze"))
+
+    return run
+
+
+def test_each_file_loads_once(tmp_path, write_lines, load):
+    day = tmp_path / "raw" / "2026" / "02"
+    write_lines(day / "18" / "events_a.jsonl", SAMPLE_LINES[:20])
+    write_lines(day / "18" / "notes.txt", ['{"decoy":1}'])
+    assert load().count() == 20
+    assert load().count() == 20
+    write_lines(day / "19" / "events_b.jsonl", SAMPLE_LINES[20:])
+    assert load().count() == 35
+    write_lines(day / "20" / "events_empty.jsonl", [])
+    assert load().count() == 35
+
+
+def test_a_file_with_an_old_timestamp_still_loads(tmp_path, write_lines, load):
+    write_lines(tmp_path / "raw" / "new.jsonl", SAMPLE_LINES[:1])
+    assert load().count() == 1
+    old = tmp_path / "raw" / "backfill.jsonl"
+    write_lines(old, SAMPLE_LINES[1:3])
+    a_year_ago = time.time() - 365 * 86400
+    os.utime(old, (a_year_ago, a_year_ago))
+    assert load().count() == 3
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path, write_lines, load):
+    write_lines(tmp_path / "raw" / "edges.jsonl", EDGE_LINES)
+    bronze = load()
+    assert bronze.count() == 13
+    assert bronze.columns == ["ingested_at", "event"]
+    assert bronze.where("ingested_at is null").count() == 0
+    rejects = read_rejects(spark, str(tmp_path / "bronze")).collect()
+    assert sorted(r.line for r in rejects) == ["not json", '{"a":1,"a":2}']
+    assert all(r.source_file.endswith("/edges.jsonl") for r in rejects)
+
+
+def test_load_in_bounded_batches_equals_one_load(tmp_path, write_lines, load):
+    for number, line in enumerate(SAMPLE_LINES):
+        write_lines(tmp_path / "raw" / f"{number}.jsonl", [line])
+    assert load(max_bytes_per_trigger=1000).count() == 35
+
+
+def test_path_pattern(spark, tmp_path, write_lines, load):
+    write_lines(tmp_path / "raw" / "keep" / "a.jsonl", SAMPLE_LINES[:5])
+    write_lines(tmp_path / "raw" / "skip" / "b.jsonl", SAMPLE_LINES[5:])
+    assert load(path_regex="/keep/.*[.]jsonl$").count() == 5
+    assert scan_raw(spark, str(tmp_path / "raw"), path_regex="/skip/").count() == 30
+    assert scan_raw(spark, str(tmp_path / "raw")).count() == 35
+
+
+def _land(spark, tmp_path, messages, part):
+    schema = "value binary"
+    source = str(tmp_path / "messages")
+    if messages:
+        spark.createDataFrame([(m,) for m in messages], schema).coalesce(1).write.mode(
+            "append"
+        ).parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    out = str(tmp_path / "landed")
+    land_raw(stream, out, str(tmp_path / f"checkpoint{part}"), {"availableNow": True}).awaitTermination()
+    return out
+
+
+def test_landing_files_messages_under_their_own_date(spark, tmp_path):
+    own = '{"event_date": "2026-02-18", "n": 1}'
+    other = '{"event_date":"2025-12-31","n":2}'
+    undated = ['{"n":3}', '{"event_date":"","n":4}', '{"event_date":null,"n":5}', '{"event_date":"x","n":6}']
+    pretty = '{\n  "event_date": "2026-02-18",\r\n  "text": "a\\nb"\n}'
+    bad = [b"not json", b"[1,2]", b"", b'{"cut":', b"\xff\xfe{}"]
+    messages = [m.encode() for m in (own, other, *undated, pretty)] + bad
+    out = _land(spark, tmp_path, messages, 0)
+
+    landed = {r.value: (r.y, r.m, r.d) for r in landed_lines(spark, out).collect()}
+    today = spark.range(1).select(utc_today()).first()[0]
+    assert landed[own] == ("2026", "02", "18")
+    assert landed[other] == ("2025", "12", "31")
+    for line in undated:
+        assert landed[line] == (f"{today:%Y}", f"{today:%m}", f"{today:%d}")
+    (one_line,) = set(landed) - {own, other, *undated}
+    assert json.loads(one_line) == json.loads(pretty)
+
+    kept = sorted(r.value for r in quarantined_lines(spark, out).collect())
+    assert kept == sorted(["not json", "[1,2]", "", '{"cut":', "//57fQ=="])
+    assert (tmp_path / "landed" / "state=landed" / "y=2025" / "m=12" / "d=31").is_dir()
+
+
+def test_landing_again_adds_only_new_messages(spark, tmp_path):
+    messages = [line.encode() for line in SAMPLE_LINES]
+    out = _land(spark, tmp_path, messages[:10], 0)
+    out = _land(spark, tmp_path, None, 0)
+    assert landed_lines(spark, out).count() == 10
+    out = _land(spark, tmp_path, messages[10:], 0)
+    assert sorted(r.value for r in landed_lines(spark, out).collect()) == sorted(SAMPLE_LINES)
+
+
+def test_landed_files_load_into_bronze_without_the_quarantine(spark, tmp_path):
+    messages = [line.encode() for line in SAMPLE_LINES] + [b"broken", b"[1]"]
+    out = _land(spark, tmp_path, messages, 0)
+    bronze = str(tmp_path / "bronze")
+    load_bronze(spark, out, bronze, str(tmp_path / "checkpoint"), **LANDED_FILES).awaitTermination()
+    assert read_bronze(spark, bronze).count() == 35
+    assert read_rejects(spark, bronze).count() == 0
+
+
+def test_landing_requires_paths(spark, tmp_path):
+    stream = spark.readStream.schema("value binary").parquet(str(tmp_path))
+    with pytest.raises(ValueError):
+        land_raw(stream, "", "checkpoint")
+
+
+def test_encoded_events_leave_out_nulls(spark):
+    events = spark.createDataFrame(
+        [("sale", "s1", 2, None), ("inventory", "s1", None, 5)],
+        "event_type string, store_id string, qty int, on_hand int",
+    )
+    messages = encode_events(events)
+    assert messages.schema["value"].dataType.simpleString() == "binary"
+    decoded = [json.loads(bytes(r.value)) for r in messages.collect()]
+    assert decoded == [
+        {"event_type": "sale", "store_id": "s1", "qty": 2},
+        {"event_type": "inventory", "store_id": "s1", "on_hand": 5},
+    ]
+
+
+def test_utc_today_ignores_the_session_zone(spark):
+    days = set()
+    for zone in ("UTC", "Pacific/Kiritimati", "Pacific/Niue"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        days.add(spark.range(1).select(utc_today().cast("string")).first()[0])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(days) == 1
+
+
+def test_topic_options():
+    options = kafka_read_options("host:1", group_id="g", max_events_per_task=1000)
+    assert options == {
+        "kafka.bootstrap.servers": "host:1",
+        "subscribe": "retail_events",
+        "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": "5000",
+        "maxTriggerDelay": "1h",
+        "failOnDataLoss": "true",
+        "kafka.group.id": "g",
+        "maxRecordsPerPartition": "1000",
+    }
+    assert kafka_write_options("host:1", "t") == {"kafka.bootstrap.servers": "host:1", "topic": "t"}
+    with pytest.raises(ValueError):
+        kafka_read_options("")
+
+
+def test_bronze_is_written_shredded(tmp_path, write_lines, load):
+    import pyarrow.parquet as pq
+
+    write_lines(tmp_path / "raw" / "a.jsonl", SAMPLE_LINES)
+    load()
+    (part, *_) = (tmp_path / "bronze" / "status=loaded").glob("*.parquet")
+    event = pq.read_schema(part).field("event").type
+    assert {f.name for f in event} == {"metadata", "value", "typed_value"}
+    assert "store_id" in {f.name for f in event.field("typed_value").type}
+
+
+def test_streamed_lines_are_parsed_once(spark, tmp_path):
+    from shelfwise.operators import parse_lines
+    from tests.test_plans import executed_plan
+
+    (tmp_path / "a.jsonl").write_text("{}\n")
+    plan = executed_plan(parse_lines(scan_raw(spark, str(tmp_path)), source_file=F.col("source_file")))
+    assert plan.count("parseJson") == 1
