@@ -107,5 +107,7 @@ def iso_utc(time: Column) -> Column:
     the session time zone, which skips an hour a year.
     """
     text = time.cast("timestamp_ntz").cast("string")
-    with_point = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".")))
-    return F.concat(F.translate(F.rpad(with_point, 26, "0"), " ", "T"), F.lit("+00:00"))
+    micros = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), micros, F.lit("+00:00")
+    )

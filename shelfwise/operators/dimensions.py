@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.calendar import calendar_parts
-from shelfwise.functions.events import field, has_field
+from shelfwise.functions.events import field, field_failed, field_or_null, has_field
+from shelfwise.operators.silver import check_cast_mode
 
 # Value of grouping_id(date, store_id, product_id) for each one-column grouping set.
 _DATE_SET, _STORE_SET, _PRODUCT_SET = 0b011, 0b101, 0b110
@@ -21,8 +22,20 @@ def _with_calendar(dates: DataFrame) -> DataFrame:
     return dates.select("date", *calendar_parts(F.col("date")))
 
 
-def dim_date(bronze: DataFrame, drop_null_keys: bool = False) -> DataFrame:
-    dates = bronze.where(has_field("event_date")).select(field("event_date").alias("date"))
+def _date(on_cast_error: str) -> tuple[Column, Column]:
+    """The event date, and whether the event carries one that counts."""
+    check_cast_mode(on_cast_error)
+    present = has_field("event_date")
+    if on_cast_error == "raise":
+        return field("event_date").alias("date"), present
+    return field_or_null("event_date").alias("date"), present & ~field_failed("event_date")
+
+
+def dim_date(
+    bronze: DataFrame, drop_null_keys: bool = False, on_cast_error: str = "raise"
+) -> DataFrame:
+    date, present = _date(on_cast_error)
+    dates = bronze.where(present).select(date)
     return _with_calendar(_distinct(dates, "date", drop_null_keys))
 
 
@@ -36,17 +49,18 @@ def dim_product(bronze: DataFrame, drop_null_keys: bool = False) -> DataFrame:
     return _distinct(products, "product_id", drop_null_keys)
 
 
-def dimension_members(bronze: DataFrame) -> DataFrame:
+def dimension_members(bronze: DataFrame, on_cast_error: str = "raise") -> DataFrame:
     """The members of all three dimensions from one scan and one shuffle.
 
     Grouping sets count each column on its own; ``present`` tells a member that
     is a JSON null from events which lack the field.
     """
+    date, date_present = _date(on_cast_error)
     values = bronze.select(
-        field("event_date").alias("date"),
+        date,
         field("store_id"),
         field("product_id"),
-        has_field("event_date").alias("has_date"),
+        date_present.alias("has_date"),
         has_field("store_id").alias("has_store"),
         has_field("product_id").alias("has_product"),
     )

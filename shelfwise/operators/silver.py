@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.events import any_field_failed, field, field_or_null
+from shelfwise.functions.events import any_field_failed, field, field_failed, field_or_null
 from shelfwise.schema import INVENTORY, INVENTORY_FIELDS, SALE, SALE_FIELDS
 
 _COMMON_FIELDS = ("event_time", "event_date", "store_id", "product_id")
 
 
 def _failed(kind: Column) -> Column:
-    return F.when(kind == SALE, any_field_failed(SALE_FIELDS)).otherwise(
-        any_field_failed(INVENTORY_FIELDS)
+    """Whether a field that some table casts cannot be cast; all kinds share the date."""
+    return (
+        F.when(kind == SALE, any_field_failed(SALE_FIELDS))
+        .when(kind == INVENTORY, any_field_failed(INVENTORY_FIELDS))
+        .otherwise(field_failed("event_date"))
     )
 
 
 def _getter(on_cast_error: str):
+    check_cast_mode(on_cast_error)
+    return field if on_cast_error == "raise" else field_or_null
+
+
+def check_cast_mode(on_cast_error: str) -> None:
     if on_cast_error not in ("raise", "quarantine"):
         raise ValueError("on_cast_error is 'raise' or 'quarantine'")
-    return field if on_cast_error == "raise" else field_or_null
 
 
 def _keep(events: DataFrame, on_cast_error: str, failed: Column) -> DataFrame:
@@ -59,6 +66,5 @@ def silver_inventory(bronze: DataFrame, on_cast_error: str = "raise") -> DataFra
 
 
 def cast_failures(bronze: DataFrame) -> DataFrame:
-    """Bronze rows of sales and inventory events that the quarantine mode leaves out."""
-    kind = field("event_type")
-    return bronze.where(kind.isin(SALE, INVENTORY) & _failed(kind))
+    """The Bronze rows that the quarantine mode leaves out of Silver or the dimensions."""
+    return bronze.where(_failed(field("event_type")))

@@ -11,7 +11,7 @@ from shelfwise import schema as S
 from shelfwise.operators import dimensions as D
 from shelfwise.operators.facts import fact_inventory_daily, fact_sales_daily
 from shelfwise.operators.features import features_daily
-from shelfwise.operators.silver import silver_events
+from shelfwise.operators.silver import cast_failures, silver_events
 from shelfwise.operators.stockout import (
     StockoutModel,
     predictions,
@@ -47,6 +47,11 @@ class Lakehouse:
     def inventory_events(self) -> DataFrame:
         return self._silver(S.INVENTORY, S.INVENTORY_EVENTS_SCHEMA)
 
+    @property
+    def cast_failures(self) -> DataFrame:
+        """Bronze rows left out by a refresh in quarantine mode."""
+        return self._read("silver.cast_failures", S.BRONZE_SCHEMA)
+
     @property
     def dim_date(self) -> DataFrame:
         return self._read("gold.dim_date", S.DIM_DATE_SCHEMA)
@@ -89,6 +94,9 @@ def refresh(
     chain. Bronze is scanned twice: once for both Silver tables, once for all
     dimensions. Facts read Silver, where each kind is its own partition. Give
     every run a new ``out`` and switch readers with ``publish_views``.
+
+    A value that cannot be cast fails the refresh. With ``on_cast_error`` set to
+    ``quarantine`` its event goes to ``cast_failures`` instead, from one more scan.
     """
     tables = Lakehouse(spark, out)
 
@@ -96,8 +104,11 @@ def refresh(
         silver_events(bronze, on_cast_error), tables.path("silver.events"), ("event_type",)
     )
 
+    if on_cast_error == "quarantine":
+        full_refresh(cast_failures(bronze), tables.path("silver.cast_failures"))
+
     members_path = tables.path("gold.dimension_members")
-    full_refresh(D.dimension_members(bronze), members_path)
+    full_refresh(D.dimension_members(bronze, on_cast_error), members_path)
     members = read_table(spark, members_path, S.DIMENSION_MEMBERS_SCHEMA)
     full_refresh(D.members_to_dim_date(members), tables.path("gold.dim_date"))
     full_refresh(D.members_to_dim_store(members), tables.path("gold.dim_store"))

@@ -13,6 +13,7 @@ FLUSH_EVENTS = 5000
 FLUSH_INTERVAL = "1h"
 DEFAULT_TOPIC = "retail_events"
 RAW_FILE_GLOB = "*.jsonl"
+MAX_LOAD_BYTES = 1 << 40
 
 NUMBER = "decimal(38,0)"
 

@@ -11,6 +11,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Fewer, larger tasks and files than the default over terabytes of raw text.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # A partitioned write keeps its few files open at once instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Bronze is written shredded and read field by field.
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.bronze import parse_lines
-from shelfwise.schema import RAW_FILE_GLOB
+from shelfwise.schema import MAX_LOAD_BYTES, RAW_FILE_GLOB
 from shelfwise.sources.raw_files import stream_raw
 
 
@@ -18,7 +18,7 @@ def load_bronze(
     checkpoint: str,
     name_glob: str = RAW_FILE_GLOB,
     path_regex: str | None = None,
-    max_bytes_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = MAX_LOAD_BYTES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Load every file below ``raw`` once; run again, it loads only new files.
@@ -26,6 +26,9 @@ def load_bronze(
     A bad line is set aside and the rest of its file loads. Loaded events and
     rejected lines are two partitions of one table, written in the same pass; read
     them with ``read_bronze`` and ``read_rejects``.
+
+    A large backlog loads in batches of ``max_bytes_per_trigger``, so a failure
+    costs one batch and not the whole load.
     """
     lines = stream_raw(spark, raw, name_glob, path_regex, max_bytes_per_trigger)
     return (

@@ -1,6 +1,7 @@
 """The ordered refresh, the prediction job and the catalog views."""
 
 import json
+from datetime import date
 
 import pytest
 
@@ -72,6 +73,20 @@ def test_refresh_stops_at_the_first_failure(spark, make_bronze, tmp_path):
     tables = refresh(spark, bad, str(tmp_path / "tolerant"), on_cast_error="quarantine")
     assert tables.sales_events.count() == 0
     assert tables.dim_store.count() == 1
+    assert tables.cast_failures.count() == 1
+
+
+def test_quarantine_covers_dates_of_any_kind(spark, make_bronze, tmp_path):
+    good = SAMPLE_EVENTS[0]
+    bad_date = {**good, "event_type": "return", "event_date": "someday", "store_id": "s9"}
+    bronze = make_bronze([good, bad_date, {**good, "event_date": None, "event_type": "return"}])
+    with pytest.raises(Exception, match="event_date is not a date"):
+        refresh(spark, bronze, str(tmp_path / "strict"))
+    tables = refresh(spark, bronze, str(tmp_path / "out"), on_cast_error="quarantine")
+    assert tables.cast_failures.count() == 1
+    assert {r[0] for r in rows(tables.dim_date)} == {date(2026, 2, 18), None}
+    assert rows(tables.dim_date) == rows(O.dim_date(bronze, on_cast_error="quarantine"))
+    assert rows(tables.dim_store) == [("s9",), (good["store_id"],)]
 
 
 def test_example_queries_through_the_catalog(spark, tmp_path):

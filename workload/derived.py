@@ -15,6 +15,7 @@ from shelfwise.functions import encode_json, iso_utc
 from shelfwise.operators import parse_lines
 from shelfwise.schema import EVENT_FIELDS, INVENTORY, NUMBER, SALE
 from shelfwise.session import shared_dir
+from shelfwise.sources.raw_files import scan_raw
 from shelfwise.sources.tables import read_bronze, write_bronze
 
 # Fixed values.
@@ -75,24 +76,37 @@ def raw_lines_with_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_lines(events.withColumn("qty", F.coalesce(qty, F.col("qty").cast("string"))))
 
 
-_written: dict[tuple[str, str, str], str] = {}
+Lines = Callable[[SparkSession, str], DataFrame]
 
+_written: dict[tuple[str, str, str], str] = {}
 
-def bronze(
-    spark: SparkSession,
-    sf_dir: str,
-    lines: Callable[[SparkSession, str], DataFrame] = raw_lines,
-) -> DataFrame:
-    """The derived lines as a written Bronze table, as the operators after it find them.
 
-    Written once per application and data set into the shared folder.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, lines.__name__)
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """A path in the shared folder, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = shared_dir(spark, f"bronze-{lines.__name__}")
-        write_bronze(parse_lines(lines(spark, sf_dir)), path)
+        path = shared_dir(spark, name)
+        write(path)
         _written[key] = path
-    return read_bronze(spark, _written[key])
+    return _written[key]
+
+
+def raw_files(spark: SparkSession, sf_dir: str, lines: Lines = raw_lines) -> DataFrame:
+    """The derived lines as files of text, read back line by line."""
+
+    def write(path: str) -> None:
+        lines(spark, sf_dir).select("value").write.text(path)
+
+    return scan_raw(spark, _once(spark, sf_dir, f"raw-{lines.__name__}", write), name_glob="*.txt")
+
+
+def bronze(spark: SparkSession, sf_dir: str, lines: Lines = raw_lines) -> DataFrame:
+    """The derived lines as a Bronze table, as the operators after it find them."""
+
+    def write(path: str) -> None:
+        write_bronze(parse_lines(raw_files(spark, sf_dir, lines)), path)
+
+    return read_bronze(spark, _once(spark, sf_dir, f"bronze-{lines.__name__}", write))
 
 
 def lineitem_sales(spark: SparkSession, sf_dir: str, store: str, product: str) -> DataFrame:

@@ -56,7 +56,7 @@ def bronze_events_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines parsed and typed in one plan, without a table in between."""
-    return _typed(O.bronze_events(O.parse_lines(W.raw_lines(spark, sf_dir))))
+    return _typed(O.bronze_events(O.parse_lines(W.raw_files(spark, sf_dir))))
 
 
 def bronze_load_skip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def bronze_load_skip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = O.parse_lines(W.raw_lines_with_broken(spark, sf_dir))
+    parsed = O.parse_lines(W.raw_files(spark, sf_dir, W.raw_lines_with_broken))
     return O.rejected_lines(parsed).select("line")
 
 
