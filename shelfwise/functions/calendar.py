@@ -20,6 +20,12 @@ def calendar_parts(date: Column) -> list[Column]:
     ]
 
 
+def date_path(date: Column) -> list[Column]:
+    """Year, month and day as zero-padded text columns ``y``, ``m`` and ``d``."""
+    parts = (("y", F.year(date), 4), ("m", F.month(date), 2), ("d", F.dayofmonth(date), 2))
+    return [F.lpad(part.cast("string"), width, "0").alias(name) for name, part, width in parts]
+
+
 def utc_today() -> Column:
     """Today's date in UTC, whatever the session time zone."""
     return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp()))

@@ -14,12 +14,18 @@ _ISO_TYPES = ("date", "timestamp_ntz")
 
 
 def decode_text(value: Column) -> Column:
-    """Message bytes (or text) as one line of text; NULL when not valid UTF-8.
+    """Message bytes (or text) as text; NULL when not valid UTF-8."""
+    return F.try_validate_utf8(value.cast("binary").cast("string"))
+
+
+def one_line(text: Column) -> Column:
+    """A JSON document on one line.
 
     JSON allows a raw line break only between tokens, so turning breaks into
-    blanks keeps the document and makes it fit on one line.
+    blanks keeps the document.
     """
-    return F.translate(F.try_validate_utf8(value.cast("binary").cast("string")), "\r\n", "  ")
+    has_break = F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+    return F.when(has_break, F.translate(text, "\r\n", "  ")).otherwise(text)
 
 
 def parse_event(line: Column) -> Column:
@@ -40,15 +46,14 @@ def _path(name: str) -> str:
     return f"$.{name}"
 
 
-def _text(name: str, event: str) -> Column:
+def field_text(name: str, event: str = "event") -> Column:
+    """The field as text, whatever its type."""
     return F.try_variant_get(event, _path(name), "string")
 
 
-def _from_iso(name: str, event: str) -> Column:
-    """A date or time read from its ISO text; NULL for any other value."""
-    text = _text(name, event)
-    is_iso = F.substring(text, 5, 1) == F.lit("-")
-    return F.when(is_iso, text.try_cast(EVENT_FIELDS[name]))
+def from_iso(text: Column, data_type: str) -> Column:
+    """A date or time read from ISO text; NULL for any other text."""
+    return F.when(F.substring(text, 5, 1) == F.lit("-"), text.try_cast(data_type))
 
 
 def field(name: str, event: str = "event") -> Column:
@@ -63,10 +68,10 @@ def field(name: str, event: str = "event") -> Column:
     if data_type == "string":
         column = F.variant_get(event, _path(name), "string")
     elif data_type in _ISO_TYPES:
-        text = _text(name, event)
+        text = field_text(name, event)
         failure = F.raise_error(F.concat(F.lit(f"{name} is not a {data_type}: "), text))
         column = F.coalesce(
-            _from_iso(name, event), F.when(text.isNotNull(), failure.cast(data_type))
+            from_iso(text, data_type), F.when(text.isNotNull(), failure.cast(data_type))
         )
     else:
         column = F.variant_get(F.variant_get(event, _path(name), "variant"), "$", data_type)
@@ -77,17 +82,19 @@ def field_or_null(name: str, event: str = "event") -> Column:
     """Like ``field`` but NULL where the value cannot be cast."""
     data_type = EVENT_FIELDS[name]
     if data_type in _ISO_TYPES:
-        return _from_iso(name, event).alias(name)
+        return from_iso(field_text(name, event), data_type).alias(name)
     return F.try_variant_get(event, _path(name), data_type).alias(name)
 
 
 def field_failed(name: str, event: str = "event") -> Column:
     """Whether the field holds a value (other than JSON null) that cannot be cast."""
-    return field_or_null(name, event).isNull() & _text(name, event).isNotNull()
+    return field_or_null(name, event).isNull() & field_text(name, event).isNotNull()
 
 
 def any_field_failed(names: tuple[str, ...], event: str = "event") -> Column:
-    return reduce(Column.__or__, (field_failed(name, event) for name in names))
+    """Whether one of the fields fails; text never does."""
+    checked = [name for name in names if EVENT_FIELDS[name] != "string"]
+    return reduce(Column.__or__, (field_failed(name, event) for name in checked))
 
 
 def has_field(name: str, event: str = "event") -> Column:

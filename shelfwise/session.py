@@ -24,10 +24,19 @@ RUNTIME_SETTINGS = {
 _fallback_root: str | None = None
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the recommended runtime settings to a session and return it."""
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply the recommended runtime settings to a session and return it.
+
+    On a cluster give ``shuffle_partitions`` as a few times the number of cores:
+    Spark merges small shuffle partitions up to its advisory size but does not
+    split large even ones, so it has to start from enough of them.
+    """
+    settings = dict(RUNTIME_SETTINGS)
+    if shuffle_partitions is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = shuffle_partitions
+        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
     return spark
 
 

@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwise.functions.calendar import utc_today
-from shelfwise.functions.events import decode_text, is_json_object, parse_event
+from shelfwise.functions.calendar import date_path, utc_today
+from shelfwise.functions.events import (
+    decode_text,
+    field_text,
+    from_iso,
+    is_json_object,
+    one_line,
+    parse_event,
+)
 
 LANDED = "landed"
 QUARANTINED = "quarantined"
@@ -25,16 +32,18 @@ def route_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     none. Its text is kept as it came. One that is not a JSON object is
     quarantined instead of stopping the stream.
     """
-    decoded = messages.select(
-        decode_text(F.col(value)).alias("line"), F.col(value).cast("binary").alias("bytes")
-    ).withColumn("event", parse_event(F.col("line")))
+    decoded = (
+        messages.select(F.col(value).cast("binary").alias("bytes"))
+        .withColumn("text", decode_text(F.col("bytes")))
+        .withColumn("line", one_line(F.col("text")))
+        .withColumn("event", parse_event(F.col("line")))
+        .withColumn("date_text", field_text("event_date"))
+        .withColumn("date", F.coalesce(from_iso(F.col("date_text"), "date"), utc_today()))
+    )
     is_event = F.coalesce(is_json_object(F.col("line"), F.col("event")), F.lit(False))
-    date = F.coalesce(F.try_variant_get("event", "$.event_date", "date"), utc_today())
     return decoded.select(
         F.when(is_event, F.lit(LANDED)).otherwise(F.lit(QUARANTINED)).alias("state"),
-        F.date_format(date, "yyyy").alias("y"),
-        F.date_format(date, "MM").alias("m"),
-        F.date_format(date, "dd").alias("d"),
+        *date_path(F.col("date")),
         # Bytes that are no text are kept readable, and whole, as base64.
         F.coalesce("line", F.base64("bytes")).alias("value"),
     )

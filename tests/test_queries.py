@@ -46,3 +46,26 @@ def test_query_equals_sql(spark, sql, name):
     assert sorted(result.columns) == sorted(columns)
     got = _rows(result.columns, [tuple(row) for row in result.collect()])
     assert got == _rows(columns, expected.fetchall())
+
+
+def test_known_totals_at_sf001(spark):
+    """Counts and sums computed beforehand, apart from the registered SQL."""
+    run = contract.queries()
+    larger = "/root/testdata/sf0.01"
+
+    def totals(name, *expressions):
+        return tuple(run[name](spark, larger).selectExpr(*expressions).first())
+
+    assert totals("silver_sales_events", "count(*)") == (1981,)
+    assert totals("silver_inventory_events", "count(*)") == (1982,)
+    assert totals("fact_sales_daily", "count(*)", "sum(total_qty_sold)", "sum(sales_event_count)") == (
+        445,
+        4979,
+        1981,
+    )
+    assert totals("fact_inventory_daily", "count(*)", "sum(on_hand_latest)") == (441, 4313)
+    assert totals(
+        "features_daily", "count(*)", "count(on_hand_latest)", "sum(stockout_risk_label)"
+    ) == (445, 436, 64)
+    assert totals("lineitem_sales_daily", "count(*)", "sum(total_qty_sold)") == (59996, 1524135)
+    assert totals("orders_latest_per_customer", "count(*)", "sum(o_orderkey)") == (1500, 11030055)

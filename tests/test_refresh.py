@@ -156,3 +156,12 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session, "x")
+
+
+def test_tune_starts_with_enough_partitions(spark):
+    from shelfwise import tune
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session = spark.newSession()
+    assert tune(session).conf.get(key, None) is None
+    assert tune(session, shuffle_partitions=64).conf.get(key) == "64"

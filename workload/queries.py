@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import Lakehouse, predict_stockouts, refresh, shared_dir
 from shelfwise import operators as O
-from shelfwise.functions import encode_json, field, field_or_null, iso_utc, parse_event
+from shelfwise.functions import date_path, encode_json, field, field_or_null, iso_utc, parse_event
 from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN
 from shelfwise.sources import read_bronze, read_rejects, scan_raw
 from shelfwise.streaming import (
@@ -70,13 +70,8 @@ def bronze_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_files(lines: DataFrame, path: str) -> None:
     """Raw files of JSON lines in a date tree, as a landing job leaves them."""
-    day = lines.select(
-        F.date_format("ts", "yyyy").alias("y"),
-        F.date_format("ts", "MM").alias("m"),
-        F.date_format("ts", "dd").alias("d"),
-        "value",
-    )
-    day.write.mode("append").partitionBy("y", "m", "d").text(path)
+    dated = lines.select(*date_path(F.to_date("ts")), "value")
+    dated.write.mode("append").partitionBy("y", "m", "d").text(path)
 
 
 def _load_in_steps(spark: SparkSession, lines: DataFrame) -> str:
