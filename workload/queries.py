@@ -11,7 +11,7 @@ from shelfwise import Lakehouse, predict_stockouts, refresh, shared_dir
 from shelfwise import operators as O
 from shelfwise.functions import date_path, encode_json, field, field_or_null, iso_utc, parse_event
 from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN
-from shelfwise.sources import read_bronze, read_rejects, scan_raw
+from shelfwise.sources import full_refresh, read_bronze, read_rejects, scan_raw
 from shelfwise.streaming import (
     LANDED_FILES,
     encode_events,
@@ -270,16 +270,21 @@ def stockout_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stockout_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = O.training_set(_features(spark, sf_dir))
+def _predicted(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
+    """Train on a written training table and score the same rows."""
+    path = shared_dir(spark, "training")
+    full_refresh(O.training_set(_features(spark, sf_dir), keep_keys=keep_keys), path)
+    training = spark.read.parquet(path)
     scored = O.score(training, O.train_stockout(training))
-    return _rounded(_whole(O.predictions(scored)), TRAINED_DECIMALS)
+    return _rounded(_whole(O.predictions(scored, keep_keys)), TRAINED_DECIMALS)
+
+
+def stockout_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predicted(spark, sf_dir)
 
 
 def stockout_predictions_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = O.training_set(_features(spark, sf_dir), keep_keys=True)
-    scored = O.score(training, O.train_stockout(training))
-    return _rounded(_whole(O.predictions(scored, keep_keys=True)), TRAINED_DECIMALS)
+    return _predicted(spark, sf_dir, keep_keys=True)
 
 
 # --- whole jobs ----------------------------------------------------------------
