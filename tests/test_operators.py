@@ -346,3 +346,22 @@ def test_day_of_week_starts_at_sunday(spark):
     df = spark.createDataFrame([(D21,), (D22,), (D23,)], "d date")
     parts = df.select("d", *calendar_parts(F.col("d"))).orderBy("d").collect()
     assert [tuple(p)[1:] for p in parts] == [(2026, 2, 21, 6), (2026, 2, 22, 0), (2026, 2, 23, 1)]
+
+
+# --- stored and filtered -------------------------------------------------------
+
+
+def test_edges_give_the_same_from_one_stored_file(edges, stored):
+    source = stored(edges)
+    assert rows(features(source)) == rows(features(edges))
+    assert rows(O.silver_events(source)) == rows(O.silver_events(edges))
+    assert rows(O.dim_date(source)) == rows(O.dim_date(edges))
+
+
+@pytest.mark.parametrize("condition", ["qty is not null", "qty > 1", "event_date is not null", "qty = 4"])
+def test_later_filters_do_not_cast_other_kinds(make_bronze, stored, condition):
+    """A filter on a typed column must not run ahead of the filter on the kind."""
+    bronze = make_bronze([OTHER_KIND, GOOD, UNKNOWN_KIND])
+    for source in (bronze, stored(bronze)):
+        assert O.silver_sales(source).where(condition).count() == 1
+        assert O.silver_events(source).where(condition).where("event_type = 'sale'").count() == 1

@@ -208,3 +208,24 @@ def test_streamed_lines_are_parsed_once(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("{}\n")
     plan = executed_plan(parse_lines(scan_raw(spark, str(tmp_path)), source_file=F.col("source_file")))
     assert plan.count("parseJson") == 1
+
+
+def test_files_of_a_failed_batch_are_not_read(spark, tmp_path, write_lines, load):
+    """A lost task leaves files behind that the sink's log does not name."""
+    write_lines(tmp_path / "raw" / "a.jsonl", SAMPLE_LINES)
+    load()
+    loaded = tmp_path / "bronze" / "status=loaded"
+    (part, *_) = loaded.glob("*.parquet")
+    (loaded / "part-00099-stray.c000.snappy.parquet").write_bytes(part.read_bytes())
+    assert read_bronze(spark, str(tmp_path / "bronze")).count() == 35
+
+
+def test_view_over_a_streamed_table(spark, tmp_path, write_lines, load):
+    from shelfwise import publish_views, refresh
+
+    write_lines(tmp_path / "raw" / "a.jsonl", [*SAMPLE_LINES, "broken"])
+    bronze = load()
+    publish_views(refresh(spark, bronze, str(tmp_path / "tables")), str(tmp_path / "bronze"))
+    assert spark.table("bronze.raw_events").count() == 35
+    kinds = spark.sql("SELECT event:event_type::string AS k, count(*) FROM bronze.raw_events GROUP BY 1")
+    assert {tuple(r) for r in kinds.collect()} == {("sale", 28), ("inventory", 7)}
