@@ -30,7 +30,9 @@ def kafka_read_options(
     """Read from the earliest offset; a batch starts at ``flush_events`` or ``flush_interval``.
 
     ``max_events_per_batch`` bounds a batch when catching up on a backlog, and
-    ``max_events_per_task`` splits a hot topic partition over several tasks.
+    ``max_events_per_task`` splits a hot topic partition over several tasks. Offsets
+    that the topic no longer holds stop the stream unless ``fail_on_data_loss`` is
+    off; offsets are kept in the checkpoint, not committed to the broker.
     """
     options = {
         "kafka.bootstrap.servers": _servers(bootstrap_servers),

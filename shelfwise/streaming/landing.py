@@ -60,7 +60,8 @@ def land_raw(
 
     One pass writes landed and quarantined lines. Without a ``trigger`` a batch
     runs as soon as the source offers one; a topic read with ``read_topic`` does
-    so by count or time.
+    so by count or time. Give other sources ``{"processingTime": "1 hour"}`` to
+    gather as long, or ``{"availableNow": True}`` to drain what is there and stop.
     """
     if not out or not checkpoint:
         raise ValueError("an output path and a checkpoint path are required")
