@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload.oracle import ORACLE_SQL
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -31,14 +33,16 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 166
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sql, name):
     result = contract.queries()[name](spark, SF_DIR)
     expected = sql.execute(contract.oracle_sql()[name])
