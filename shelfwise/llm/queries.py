@@ -5,23 +5,88 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm.common import read
+from shelfwise.llm.common import bucket, read
 from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.exact_dedup import exact_copies
+from shelfwise.llm.language import identify, train_language
+from shelfwise.llm.language_model import score_language_model
+from shelfwise.llm.line_dedup import dedup_lines
+from shelfwise.llm.packing import pack
+from shelfwise.llm.quality import THRESHOLD, score_quality, train_quality
+from shelfwise.llm.simhash import near_copies
+from shelfwise.llm.warc import read_warc, write_warc
+from shelfwise.session import shared_dir
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents")).drop("ids")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    write_warc(read(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "lines", "removed_lines", "text")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = bucket("doc_id", 4) == 2
+    model = train_language(docs.where(~held_out).select("text", "lang"))
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = score_language_model(read(spark, sf_dir, "documents"), train=bucket("doc_id", 7) != 2)
+    return scores.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    learnt = labels.where(bucket("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    labelled = docs.join(learnt, "doc_id").select(F.col("doc_id").alias("key"), "text", "label")
+    return score_quality(docs, train_quality(labelled)).select(
+        "doc_id",
+        (bucket("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_decontaminate": op2_decontaminate,
-    "op6_exact_dedup": op6_exact_dedup,
+    query.__name__: query
+    for query in (
+        op1_simhash,
+        op2_decontaminate,
+        op3_best_fit_packing,
+        op4_warc,
+        op6_exact_dedup,
+        op7_line_dedup,
+        op8_language_id,
+        op9_lm_score,
+        op10_quality,
+    )
 }
 
 _OP2 = r"""
