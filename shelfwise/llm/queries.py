@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.chat import format_chats
 from shelfwise.llm.common import bucket, read
 from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.exact_dedup import exact_copies
@@ -40,6 +41,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read(spark, sf_dir, "conversations"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(read(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_decontaminate,
         op3_best_fit_packing,
         op4_warc,
+        op5_chat_format,
         op6_exact_dedup,
         op7_line_dedup,
         op8_language_id,

@@ -5,8 +5,8 @@ distance of two fingerprints is at least the sum of the differences of these cou
 pair of cells further apart than the radius is skipped as a whole. Cells are cut into
 tiles of bounded size; a tile is one row with its fingerprints packed as bytes, and a task
 compares a pair of tiles with exclusive-or and bit counts in numpy. It returns the edges
-of a spanning forest, never all links, and the forests are joined by label propagation
-with path halving on Spark.
+of a spanning forest, never all links, and the forests are joined by star contractions
+on Spark.
 """
 
 from __future__ import annotations
@@ -194,10 +194,14 @@ def near_copies(
     joined = distinct.join(member.withColumnRenamed("node", "fingerprint"), "fingerprint")
     named = settled(joined.groupBy("component").agg(F.min("first").alias("name")))
     linked = member.join(named, "component").select(F.col("node").alias("fingerprint"), "name")
-    lone = distinct.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("name", "first").alias("component_id")
+    # Settled, so that nothing but a shuffle stands on either side of the last join, and
+    # Spark can split the rows of a fingerprint that very many documents share.
+    named_all = settled(
+        distinct.join(linked, "fingerprint", "left").select(
+            "fingerprint", F.coalesce("name", "first").alias("component_id")
+        )
     )
-    return marked.join(lone, "fingerprint").select(
+    return marked.join(named_all, "fingerprint").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
