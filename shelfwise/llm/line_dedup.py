@@ -194,16 +194,16 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     and text are one document and lose the same lines; an empty table gives no row. The
     added names get underscores in front where a column has them.
     """
-    gone = removed_lines(docs, key, text, similarity).withColumnsRenamed({"key": "__key", "print": "__print"})
+    own = {name: unused(docs, f"gone_{name}") for name in ("key", "print", "numbers")}
+    gone = removed_lines(docs, key, text, similarity).withColumnsRenamed(own)
     mark = unused(docs, "print")
     marked = docs.withColumn(mark, F.xxhash64(text))
-    joined = marked.join(
-        gone, F.col(key).eqNullSafe(F.col("__key")) & (F.col(mark) == F.col("__print")), "left"
-    )
-    split = F.split(F.col(text), "\n")
-    kept = F.filter(split, lambda line, i: ~F.coalesce(F.array_contains("numbers", i), F.lit(False)))
-    return joined.select(
-        *[F.col(c) if c != text else F.when(F.col("numbers").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text) for c in docs.columns],
+    same = F.col(key).eqNullSafe(F.col(own["key"])) & (F.col(mark) == F.col(own["print"]))
+    numbers, split = F.col(own["numbers"]), F.split(F.col(text), "\n")
+    kept = F.array_join(F.filter(split, lambda line, i: ~F.array_contains(numbers, i)), "\n")
+    freed = F.when(numbers.isNull(), F.col(text)).otherwise(kept)
+    return marked.join(gone, same, "left").select(
+        *[freed.alias(c) if c == text else F.col(c) for c in docs.columns],
         F.coalesce(F.size(split), F.lit(0)).alias(unused(docs, "lines")),
-        F.coalesce(F.size("numbers"), F.lit(0)).alias(unused(docs, "removed_lines")),
+        F.coalesce(F.size(numbers), F.lit(0)).alias(unused(docs, "removed_lines")),
     )

@@ -37,20 +37,25 @@ class Capacities:
     """What a sequence may hold, and how bins are chosen.
 
     ``documents`` limits the pieces in a sequence, ``attention`` the sum of the squares of
-    their lengths; without a limit of its own, either is as large as the tokens allow.
-    ``choose`` is "norm" (least weighted norm of what stays free) or "dot" (largest
+    their lengths; without a limit of its own, either is as large as the tokens allow, and
+    has no weight in the choice, which is then best-fit by tokens. ``choose`` is "norm" (least weighted norm of what stays free) or "dot" (largest
     weighted product of what the piece needs and what is free).
     """
 
     tokens: int = SEQUENCE
     documents: int | None = None
     attention: int | None = None
-    weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
+    weights: tuple[float, float, float] = (1.0, 0.25, 0.25)
     choose: str = "norm"
 
     def vector(self) -> np.ndarray:
         return np.array([self.tokens, self.documents or self.tokens, self.attention or self.tokens**2], dtype=np.int64)
 
+    def scaled_weights(self) -> np.ndarray:
+        """Of the squares of what is needed or free, so that each capacity counts as 1."""
+        limited = np.array([True, self.documents is not None, self.attention is not None])
+        return np.where(limited, self.weights, 0.0) / self.vector().astype(float) ** 2
+
 
 @dataclass(eq=False)
 class _Class:
@@ -78,7 +83,7 @@ def plan_bins(lengths: dict[int, int], capacities: Capacities | None = None) ->
     if capacities.choose not in ("norm", "dot"):
         raise ValueError("choose is 'norm' or 'dot'")
     limit = capacities.vector()
-    weights = np.array(capacities.weights) / limit.astype(float) ** 2
+    weights = capacities.scaled_weights()
     open_bins: list[_Class] = []
     out: list[tuple[int, int, int, int, int]] = []
     bins = 0
