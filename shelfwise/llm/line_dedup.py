@@ -2,13 +2,14 @@
 
 A line is the set of its words. Words are numbered so that rarer ones have smaller
 numbers; two lines similar enough must then share a word among their first few, their
-prefixes. Lines with equal sets become one, prefixes are joined on their words, and the
-position of the shared word, the lengths and a bitmap of the words bound the overlap.
+prefixes. Equal lines become one, prefixes are joined on their words, and the position of
+the shared word, the lengths and a bitmap of the words bound the overlap.
 
-The join asks only whether a set has a match, so a family of similar lines never gives all
-its pairs: a first semi-join finds the sets that have any candidate, with a few numbers
+The join asks only whether a line has a match, so a family of similar lines never gives all
+its pairs: a first semi-join finds the lines that have any candidate, with a few numbers
 for each prefix word, and a second one verifies the Jaccard similarity of those that are
-left on their whole word lists.
+left on their whole word lists. What one step leaves for the next is a list of line hashes;
+lines themselves are read again, and those that matter told by a bitmap of these hashes.
 """
 
 from __future__ import annotations
@@ -16,26 +17,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import BLANKS, settled, unused, written
+from shelfwise.llm.common import BLANKS, settled, unused
 
 # Jaccard similarity in percent from which two lines match.
 SIMILARITY = 80
 # Word counts are pooled in so many buckets: a bound on what every task gets.
 BUCKETS = 1 << 17
-# Cells of the filter that spares most lines the second join; seven bits each.
+# Cells of the bitmap of line hashes; seven bits each.
 FILTER_CELLS = 1 << 19
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
+    """The words, and an empty one where blanks stand at either end."""
+    return F.split(F.lower(text), BLANKS)
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, print, line_no, line``: a document is told by its key and a print of its text."""
-    return docs.where(F.col(text).isNotNull()).select(
-        F.col(key).alias("key"),
-        F.xxhash64(text).alias("print"),
-        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
+    """``key, print, line_no, line, id``: a document is told by its key and a print of its text, a line by a hash."""
+    return (
+        docs.where(F.col(text).isNotNull())
+        .select(F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+        .withColumn("id", F.xxhash64("line"))
     )
 
 
@@ -55,7 +58,7 @@ def _rarity(docs: DataFrame, text: str) -> Column:
 
 def _ids(line: Column, rarity: Column) -> Column:
     """The line's distinct words as sorted numbers: seven bits of rarity class, then 56 of the word's hash."""
-    hashes = F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+    hashes = F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
     return F.sort_array(
         F.transform(
             hashes,
@@ -66,35 +69,24 @@ def _ids(line: Column, rarity: Column) -> Column:
     )
 
 
-def _bits(ids: Column, bit: int) -> Column:
-    """A 64-bit map of the words whose hash has the given bit pattern beside the six that choose the place."""
+def _bits(ids: Column) -> Column:
+    """A bitmap of the words in 64 places."""
+    one = F.lit(1).cast("bigint")
     return F.aggregate(
         ids,
         F.lit(0).cast("bigint"),
-        lambda a, t: F.when(
-            F.shiftright(t, 6).bitwiseAND(1) == bit, a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(63).cast("int")))
-        ).otherwise(a),
+        lambda a, t: a.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))),
     )
 
 
-def _sets(lines: DataFrame, rarity: Column) -> DataFrame:
-    """The lines that have words, with ``ids``, their number ``n``, and two hashes that stand for the set."""
-    return (
-        lines.withColumn("ids", _ids(F.col("line"), rarity))
-        .withColumn("n", F.size("ids"))
-        .where("n > 0")
-        .withColumn("s1", F.xxhash64("ids"))
-        .withColumn("s2", F.xxhash64(F.lit(1), F.col("ids")))
-    )
+def _order() -> Column:
+    return F.struct(F.col("key").isNull().alias("late"), "key", "print", "line_no")
 
 
 def _prefix(similarity: int) -> Column:
     """How many of a set's first words a match must share one of: n - ceil(t n) + 1."""
-    return (F.col("n") - F.floor((F.col("n") * similarity + 99) / 100) + 1).cast("int")
-
-
-def _order() -> Column:
-    return F.struct(F.col("key").isNull().alias("late"), "key", "print", "line_no")
+    n = F.size("ids")
+    return (n - F.floor((n * similarity + 99) / 100) + 1).cast("int")
 
 
 def _overlap(similarity: int) -> str:
@@ -110,13 +102,18 @@ def _may_match(similarity: int) -> str:
     )
 
 
-def _with_candidates(distinct: DataFrame, similarity: int) -> DataFrame:
-    """``s1`` of the sets that share a prefix word with another set and pass all filters with it."""
-    rows = distinct.select("s1", "n", "b0", "b1", F.posexplode("prefix").alias("place", "word"))
-    other = "(x.s1 <> y.s1 OR x.b0 <> y.b0 OR x.b1 <> y.b1 OR x.n <> y.n)"
-    close = f"bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= x.n + y.n - 2 * {_overlap(similarity)}"
-    condition = f"x.word = y.word AND {other} AND {_may_match(similarity)} AND {close}"
-    return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("s1").distinct()
+def _with_candidates(lines: DataFrame, rarity: Column, similarity: int) -> DataFrame:
+    """``id`` of the lines that share a prefix word with another line and pass all filters with it."""
+    rows = (
+        lines.select("line", "id")
+        .distinct()
+        .select("id", _ids(F.col("line"), rarity).alias("ids"))
+        .select("id", F.size("ids").alias("n"), _bits(F.col("ids")).alias("bits"), F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
+        .select("id", "n", "bits", F.posexplode("prefix").alias("place", "word"))
+    )
+    close = f"bit_count(x.bits ^ y.bits) <= x.n + y.n - 2 * {_overlap(similarity)}"
+    condition = f"x.word = y.word AND x.id <> y.id AND {_may_match(similarity)} AND {close}"
+    return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("id").distinct()
 
 
 def _cell(hashed: Column) -> tuple[Column, Column]:
@@ -124,64 +121,57 @@ def _cell(hashed: Column) -> tuple[Column, Column]:
     return F.floor(place / 7).cast("int"), (place % 7).cast("int")
 
 
-def _filter(some: DataFrame) -> Column:
-    """A bitmap of the hashes, as an array that tasks look up; other hashes may pass too."""
-    cell, bit = _cell(F.col("s1"))
+def _passes(some: DataFrame) -> Column:
+    """Whether a line's ``id`` may be among some: those do pass, and of the others those that share a bit of the bitmap."""
+    cell, bit = _cell(F.col("id"))
     cells = some.groupBy(cell.alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), bit)).alias("bits"))
     every = some.sparkSession.range(FILTER_CELLS).select(F.col("id").cast("int").alias("cell")).join(cells, "cell", "left")
     listed = every.agg(F.array_sort(F.collect_list(F.struct("cell", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("c"))
     bits = listed.select(F.concat_ws(",", F.transform("c", lambda x: x["bits"].cast("string")))).first()[0]
-    return F.split(F.lit(bits), ",").cast("array<tinyint>")
+    held = F.split(F.lit(bits), ",").cast("array<tinyint>")
+    return F.call_function("shiftright", F.get(held, cell).cast("int"), bit).bitwiseAND(1) == 1
 
 
-def _passes(bits: Column) -> Column:
-    cell, bit = _cell(F.col("s1"))
-    return F.call_function("shiftright", F.get(bits, cell).cast("int"), bit).bitwiseAND(1) == 1
+def _firsts(lines: DataFrame) -> DataFrame:
+    """``line, id, first, times`` for each distinct line: where it comes first, and how often it comes."""
+    return lines.groupBy("line", "id").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("times"))
 
 
-def _covered(sets: DataFrame, some: DataFrame, similarity: int) -> DataFrame:
-    """``s1, s2`` of the sets for which an earlier line has another set that matches."""
-    whole = (
-        sets.where(_passes(_filter(some)))
-        .join(some, "s1", "left_semi")
-        .groupBy("s1", "s2")
-        .agg(F.min(_order()).alias("first"), F.any_value("ids").alias("ids"), F.any_value("n").alias("n"))
+def _covered(lines: DataFrame, some: DataFrame, rarity: Column, similarity: int) -> DataFrame:
+    """``id`` of the lines with another line that matches and comes earlier."""
+    rows = (
+        _firsts(lines.where(_passes(some)).join(some, "id", "left_semi"))
+        .select("id", "first", _ids(F.col("line"), rarity).alias("ids"))
+        .select("id", "first", "ids", F.size("ids").alias("n"), F.posexplode(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
     )
-    rows = whole.select("s1", "s2", "first", "ids", "n", F.posexplode(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
     condition = (
         f"x.word = y.word AND x.first < y.first AND {_may_match(similarity)}"
         f" AND size(array_intersect(x.ids, y.ids)) >= {_overlap(similarity)}"
     )
-    return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("s1", "s2").distinct()
+    return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("id").distinct()
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """``key, print, numbers``: by document, the sorted numbers of its lines that go.
 
-    A line goes if an earlier line has the same set of words, or one with a Jaccard
-    similarity of ``similarity`` percent or more, whether that line itself stays or not.
-    Lines are in the order of key, print of the text, and place; a null key comes last.
+    A line goes if an earlier line is equal, or has a Jaccard similarity of
+    ``similarity`` percent or more, whether that line itself stays or not. Lines are in
+    the order of key, print of the text, and place; a null key comes last. Lines and words
+    are told apart by their 64-bit and 56-bit hashes.
     """
     rarity = _rarity(docs, text)
-    sets = _sets(_lines(docs, key, text), rarity)
-    prefix = F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix")
-    lines = written(
-        sets.select("key", "print", "line_no", "s1", "s2", "n", prefix, _bits(F.col("ids"), 0).alias("b0"), _bits(F.col("ids"), 1).alias("b1")),
-        "lines",
-    )
-    firsts = ["n", "prefix", "b0", "b1"]
-    distinct = lines.groupBy("s1", "s2").agg(*[F.any_value(c).alias(c) for c in firsts])
-    some = written(_with_candidates(distinct, similarity), "candidates")
-    covered = settled(_covered(sets, some, similarity))
-    places = lines.select("key", "print", "line_no", "s1", "s2")
-    first = places.groupBy("s1", "s2").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("n"))
-    # Sets that stay whole are most: only those with a line to remove are joined.
+    lines = _lines(docs, key, text)
+    some = settled(_with_candidates(lines, rarity, similarity))
+    covered = settled(_covered(lines, some, rarity, similarity))
+    places = lines.select("key", "print", "line_no", "id")
+    # Lines that come once and have no match are most: only the others are joined.
+    repeated = places.groupBy("id").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("times"))
     going = (
-        first.join(covered.withColumn("all", F.lit(True)), ["s1", "s2"], "left")
-        .where("n > 1 OR all")
-        .select("s1", "s2", F.when(F.col("all").isNull(), F.col("first")).alias("first"))
+        repeated.join(covered.withColumn("all", F.lit(True)), "id", "left")
+        .where("times > 1 OR all")
+        .select("id", F.when(F.col("all").isNull(), F.col("first")).alias("first"))
     )
-    gone = places.join(going, ["s1", "s2"]).where(F.col("first").isNull() | (F.col("first") < _order()))
+    gone = places.join(going, "id").where(F.col("first").isNull() | (F.col("first") < _order()))
     return gone.groupBy("key", "print").agg(F.sort_array(F.collect_set("line_no")).alias("numbers"))
 
 
