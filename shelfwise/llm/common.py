@@ -25,20 +25,28 @@ def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the shared checkpoint folder, with a short lineage.
 
     Uses the folder of ``spark.checkpoint.dir``; only a local session without it gets
-    a folder of its own. The files go when the last reference to the rows goes.
+    a folder of its own. The files go when the last reference to the rows goes. So do the
+    shuffle files of the steps before, once the driver collects its garbage: one with much
+    memory would hardly ever do so, and a job of many steps would fill the disks.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    del df  # with it goes the plan that still names its shuffles
+    context._jvm.System.gc()
+    return kept
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written as Parquet below the shared folder and read back: columns can be pruned."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -5,6 +5,10 @@ numbers; two lines similar enough must then share a word among their first few,
 prefixes. Equal lines become one, prefixes are joined on their words, and the position of
 the shared word, the lengths and a bitmap of the words bound the overlap.
 
+Spark derives filters from plain explodes and from join conditions (the array has elements, a
+column is not null) and pushes them down as far as it can, which here would part every line into
+words once more for each. So explodes are outer ones, and computed columns are never null.
+
 The join asks only whether a line has a match, so a family of similar lines never gives all
 its pairs: a first semi-join finds the lines that have any candidate, with a few numbers
 for each prefix word, and a second one verifies the Jaccard similarity of those that are
@@ -17,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import BLANKS, settled, unused
+from shelfwise.llm.common import BLANKS, settled, unused, written
 
 # Jaccard similarity in percent from which two lines match.
 SIMILARITY = 80
@@ -34,49 +38,56 @@ def _words(text: Column) -> Column:
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, print, line_no, line, id``: a document is told by its key and a print of its text, a line by a hash."""
+    # The print is taken before the lines are parted, or it would be taken for each of them.
+    parted = docs.where(F.col(text).isNotNull()).select(
+        F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.split(text, "\n").alias("parts")
+    )
     return (
-        docs.where(F.col(text).isNotNull())
-        .select(F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+        parted.select("key", "print", F.posexplode_outer("parts").alias("line_no", "line"))
         .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
         .withColumn("id", F.xxhash64("line"))
     )
 
 
 def _rarity(docs: DataFrame, text: str) -> Column:
-    """The array of rarity classes by bucket: the logarithm of the count of the bucket's words, in quarters of a bit."""
+    """An array by bucket of the rarity class, the logarithm of the count of the bucket's words in quarters of a bit."""
     counts = (
-        docs.select(F.explode(_words(F.col(text))).alias("w"))
+        docs.select(F.explode_outer(_words(F.col(text))).alias("w"))
         .groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("bucket"))
         .agg(F.least(F.floor(4 * F.log2(F.count(F.lit(1)))), F.lit(126)).cast("int").alias("class"))
     )
     every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
     listed = every.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("class", F.lit(0)).alias("class")))).alias("c"))
-    # One short text: two or three characters for each bucket.
+    # One short text comes to the driver: two or three characters for each bucket.
     classes = listed.select(F.concat_ws(",", F.transform("c", lambda x: x["class"].cast("string")))).first()[0]
-    return F.split(F.lit(classes), ",").cast("array<tinyint>")
+    # In their place above the 56 bits of a word's hash.
+    return F.transform(F.split(F.lit(classes), ",").cast("array<bigint>"), lambda c: F.shiftleft(c, 56))
 
 
 def _ids(line: Column, rarity: Column) -> Column:
     """The line's distinct words as sorted numbers: seven bits of rarity class, then 56 of the word's hash."""
-    hashes = F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
-    return F.sort_array(
-        F.transform(
-            hashes,
-            lambda h: F.shiftleft(F.get(rarity, h.bitwiseAND(BUCKETS - 1).cast("int")).cast("bigint"), 56).bitwiseOR(
-                F.shiftrightunsigned(h, 8)
-            ),
-        )
-    )
 
+    def number(word: Column) -> Column:
+        hashed = F.xxhash64(word)
+        return rarity[hashed.bitwiseAND(BUCKETS - 1)].bitwiseOR(F.shiftrightunsigned(hashed, 8))
 
-def _bits(ids: Column) -> Column:
-    """A bitmap of the words in 64 places."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(
-        ids,
-        F.lit(0).cast("bigint"),
-        lambda a, t: a.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))),
-    )
+    ids = F.array_distinct(F.transform(F.array_remove(_words(line), ""), number))
+    return F.coalesce(F.sort_array(ids), F.array().cast("array<bigint>"))
+
+
+def _count(ids: Column) -> Column:
+    return F.coalesce(F.size(ids), F.lit(0))
+
+
+def _bits(ids: Column, half: int) -> Column:
+    """One half of a bitmap of the words in 128 places, by seven bits of their hash."""
+    chosen = F.bitwise_not if half == 0 else lambda t: t
+
+    def mark(bits: Column, t: Column) -> Column:
+        one = F.shiftright(chosen(t), 6).bitwiseAND(F.lit(1).cast("bigint"))
+        return bits.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int")))
+
+    return F.coalesce(F.aggregate(ids, F.lit(0).cast("bigint"), mark), F.lit(0).cast("bigint"))
 
 
 def _order() -> Column:
@@ -108,10 +119,10 @@ def _with_candidates(lines: DataFrame, rarity: Column, similarity: int) -> DataF
         lines.select("line", "id")
         .distinct()
         .select("id", _ids(F.col("line"), rarity).alias("ids"))
-        .select("id", F.size("ids").alias("n"), _bits(F.col("ids")).alias("bits"), F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
-        .select("id", "n", "bits", F.posexplode("prefix").alias("place", "word"))
+        .select("id", _count(F.col("ids")).alias("n"), _bits(F.col("ids"), 0).alias("b0"), _bits(F.col("ids"), 1).alias("b1"), F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
+        .select("id", "n", "b0", "b1", F.posexplode_outer("prefix").alias("place", "word"))
     )
-    close = f"bit_count(x.bits ^ y.bits) <= x.n + y.n - 2 * {_overlap(similarity)}"
+    close = f"bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= x.n + y.n - 2 * {_overlap(similarity)}"
     condition = f"x.word = y.word AND x.id <> y.id AND {_may_match(similarity)} AND {close}"
     return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("id").distinct()
 
@@ -142,7 +153,7 @@ def _covered(lines: DataFrame, some: DataFrame, rarity: Column, similarity: int)
     rows = (
         _firsts(lines.where(_passes(some)).join(some, "id", "left_semi"))
         .select("id", "first", _ids(F.col("line"), rarity).alias("ids"))
-        .select("id", "first", "ids", F.size("ids").alias("n"), F.posexplode(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
+        .select("id", "first", "ids", _count(F.col("ids")).alias("n"), F.posexplode_outer(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
     )
     condition = (
         f"x.word = y.word AND x.first < y.first AND {_may_match(similarity)}"
@@ -163,7 +174,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     lines = _lines(docs, key, text)
     some = settled(_with_candidates(lines, rarity, similarity))
     covered = settled(_covered(lines, some, rarity, similarity))
-    places = lines.select("key", "print", "line_no", "id")
+    places = written(lines.select("key", "print", "line_no", "id"), "lines")
     # Lines that come once and have no match are most: only the others are joined.
     repeated = places.groupBy("id").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("times"))
     going = (
