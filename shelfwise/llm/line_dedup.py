@@ -60,8 +60,8 @@ def _rarity(docs: DataFrame, text: str) -> Column:
     listed = every.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("class", F.lit(0)).alias("class")))).alias("c"))
     # One short text comes to the driver: two or three characters for each bucket.
     classes = listed.select(F.concat_ws(",", F.transform("c", lambda x: x["class"].cast("string")))).first()[0]
-    # In their place above the 56 bits of a word's hash.
-    return F.transform(F.split(F.lit(classes), ",").cast("array<bigint>"), lambda c: F.shiftleft(c, 56))
+    # Functions of literals without a lambda: Spark works them out once, into a literal array.
+    return F.split(F.lit(classes), ",").cast("array<tinyint>")
 
 
 def _ids(line: Column, rarity: Column) -> Column:
@@ -69,7 +69,8 @@ def _ids(line: Column, rarity: Column) -> Column:
 
     def number(word: Column) -> Column:
         hashed = F.xxhash64(word)
-        return rarity[hashed.bitwiseAND(BUCKETS - 1)].bitwiseOR(F.shiftrightunsigned(hashed, 8))
+        rare = rarity[hashed.bitwiseAND(BUCKETS - 1)].cast("bigint")
+        return F.shiftleft(rare, 56).bitwiseOR(F.shiftrightunsigned(hashed, 8))
 
     ids = F.array_distinct(F.transform(F.array_remove(_words(line), ""), number))
     return F.coalesce(F.sort_array(ids), F.array().cast("array<bigint>"))
