@@ -156,8 +156,9 @@ def _covered(lines: DataFrame, some: DataFrame, rarity: Column, similarity: int)
         .select("id", "first", _ids(F.col("line"), rarity).alias("ids"))
         .select("id", "first", "ids", _count(F.col("ids")).alias("n"), F.posexplode_outer(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
     )
+    # Both sides use all columns, so that Spark shuffles the rows once for both.
     condition = (
-        f"x.word = y.word AND x.first < y.first AND {_may_match(similarity)}"
+        f"x.word = y.word AND x.id <> y.id AND x.first < y.first AND {_may_match(similarity)}"
         f" AND size(array_intersect(x.ids, y.ids)) >= {_overlap(similarity)}"
     )
     return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("id").distinct()
