@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,32 +22,44 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _without_old_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs planned here drop their shuffle files at their end.
+
+    Else they stay until the driver happens to collect its garbage, and a chain of large
+    steps would hold all its shuffles at once.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the shared checkpoint folder, with a short lineage.
 
     Uses the folder of ``spark.checkpoint.dir``; only a local session without it gets
-    a folder of its own. The files go when the last reference to the rows goes. So do the
-    shuffle files of the steps before, once the driver collects its garbage: one with much
-    memory would hardly ever do so, and a job of many steps would fill the disks.
+    a folder of its own. The files go when the last reference to the rows goes.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
-    kept = df.checkpoint(eager=True)
-    del df  # with it goes the plan that still names its shuffles
-    context._jvm.System.gc()
-    return kept
+    with _without_old_shuffles(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written as Parquet below the shared folder and read back: columns can be pruned."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    del df
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    with _without_old_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unused(df: DataFrame, name: str) -> str:

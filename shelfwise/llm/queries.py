@@ -15,7 +15,7 @@ from shelfwise.llm.language import identify, train_language
 from shelfwise.llm.language_model import score_language_model
 from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.packing import pack
-from shelfwise.llm.quality import THRESHOLD, score_quality, train_quality
+from shelfwise.llm.quality import THRESHOLD, score_quality
 from shelfwise.llm.simhash import near_copies
 from shelfwise.llm.warc import read_warc, write_warc
 from shelfwise.session import shared_dir
@@ -68,10 +68,9 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    learnt = labels.where(bucket("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
-    labelled = docs.join(learnt, "doc_id").select(F.col("doc_id").alias("key"), "text", "label")
-    return score_quality(docs, train_quality(labelled)).select(
+    labels = read(spark, sf_dir, "labels").where(bucket("doc_id", 5) != 0)
+    scores = score_quality(read(spark, sf_dir, "documents"), labels.select("doc_id", F.col("quality").alias("label")))
+    return scores.select(
         "doc_id",
         (bucket("doc_id", 5) == 0).alias("held_out"),
         "score",

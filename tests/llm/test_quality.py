@@ -1,51 +1,62 @@
 import pytest
 
 from shelfwise.llm.common import bucket, read
-from shelfwise.llm.quality import QualityModel, at_zero, score_quality, train_quality
+from shelfwise.llm.quality import score_quality
 from tests.llm.helpers import by_key, documents, odd_documents, with_clashes
 
+GOOD = [(i, f"a calm sentence about number {i} and the things that follow from it") for i in range(200)]
+BAD = [(1000 + i, f"$$$ BUY {i} NOW!!! " * 20) for i in range(200)]
 
-@pytest.fixture(scope="module")
-def model(spark):
-    good = [(i, f"a calm sentence about number {i} and the things that follow from it", 1) for i in range(200)]
-    bad = [(1000 + i, f"$$$ BUY {i} NOW!!! " * 20, 0) for i in range(200)]
-    rows = [*good, *bad, (5000, None, 1), (5001, "x", None), (5002, "", 0), (5003, "y", 7)]
-    return train_quality(spark.createDataFrame(rows, "key bigint, text string, label int"))
 
+def labels(spark, rows=None):
+    rows = [(k, 1) for k, _ in GOOD] + [(k, 0) for k, _ in BAD] + [(5000, 1), (5001, None), (5002, 0), (5003, 7), (None, 1)] if rows is None else rows
+    return spark.createDataFrame(rows, "doc_id bigint, label int")
 
-def test_told_apart(spark, model):
-    texts = ["a calm sentence about number 77 and what follows", "$$$ BUY 9 NOW!!! $$$ BUY 9 NOW!!!"]
-    scores = by_key(score_quality(documents(spark, texts), model))
-    assert scores[0]["score"] > 0.9 > 0.1 > scores[1]["score"]
 
+def test_told_apart(spark):
+    asked = [(9000, "a calm sentence about number 77 and what follows"), (9001, "$$$ BUY 9 NOW!!! $$$ BUY 9 NOW!!!")]
+    docs = documents(spark, GOOD + BAD + [(5000, None), (5001, "x"), (5002, ""), (5003, "y")] + asked)
+    scores = by_key(score_quality(docs, labels(spark)))
+    assert len(scores) == docs.count()
+    assert scores[9000]["score"] > 0.9 > 0.1 > scores[9001]["score"]
 
-def test_odd_rows(spark, model):
-    docs = odd_documents(spark)
-    rows = score_quality(with_clashes(docs, "key", "score", "difference"), model).collect()
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark).unionByName(documents(spark, [(k + 100, t) for k, t in GOOD + BAD]))
+    known = with_clashes(labels(spark, [(k + 100, 1) for k, _ in GOOD] + [(k + 100, 0) for k, _ in BAD]), "key", "bytes")
+    rows = score_quality(with_clashes(docs, "key", "score", "difference", "label"), known).collect()
     assert len(rows) == docs.count()
     assert all(0 <= r["score"] <= 1 for r in rows)
-    empty = [r["score"] for r in rows if r["doc_id"] in (0, 1)]
-    assert empty == pytest.approx([at_zero(model)] * 2)
+    empty = {r["score"] for r in rows if r["doc_id"] in (0, 1)}
+    assert len(empty) == 1
 
 
 def test_few_labels(spark):
-    schema = "key bigint, text string, label int"
-    none = train_quality(spark.createDataFrame([], schema))
-    assert none.slope == 0 and at_zero(none) == pytest.approx(0.5)
-    one = train_quality(spark.createDataFrame([(i, f"text {i} is fine", 1) for i in range(40)], schema))
-    assert at_zero(one) > 0.9
-    assert score_quality(documents(spark, []), QualityModel(b"", b"", 1.0, 0.0)).count() == 0
+    docs = documents(spark, [f"text {i} is fine" for i in range(60)])
+    assert {r["score"] for r in score_quality(docs, labels(spark, [])).collect()} == {0.5}
+    one = score_quality(docs, labels(spark, [(i, 1) for i in range(60)])).collect()
+    assert all(r["score"] > 0.9 for r in one)
+    assert score_quality(documents(spark, []), labels(spark)).count() == 0
 
 
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
-    docs = read(spark, sf, "documents").select("doc_id", "text")
-    rows = docs.join(read(spark, sf, "labels"), "doc_id").where("text <> ''")
-    learn = rows.where(bucket("doc_id", 5) != 0).selectExpr("doc_id AS key", "text", "quality AS label")
-    held_out = rows.where(bucket("doc_id", 5) == 0)
-    scores = score_quality(held_out.select("doc_id", "text"), train_quality(learn)).join(held_out, "doc_id").collect()
+    docs = read(spark, sf, "documents")
+    known = read(spark, sf, "labels").select("doc_id", "quality")
+    learn = known.where(bucket("doc_id", 5) != 0).withColumnRenamed("quality", "label")
+    scores = score_quality(docs, learn).join(known.where(bucket("doc_id", 5) == 0), "doc_id").collect()
     good = sorted(r["score"] for r in scores if r["quality"] == 1)
     bad = sorted(r["score"] for r in scores if r["quality"] == 0)
     above = sum(sum(g > b for g in good) + 0.5 * sum(g == b for g in good) for b in bad)
     assert above / (len(good) * len(bad)) > 0.9
     assert sum(s >= 0.3 for s in good) > 0.95 * len(good)
+
+
+@pytest.mark.parametrize("size", [1, 4095, 4096, 4097, 20_000])
+def test_whole_texts_are_measured(size):
+    from shelfwise.llm.quality import _compressor, difference
+
+    plain = _compressor(b"")
+    assert difference(b"x" * size, plain, plain) == 0.0
+    other = _compressor(b"tail of the text " * 50)
+    assert difference(b"q" * size + b"tail of the text " * 20, other, plain) < 0
