@@ -34,7 +34,7 @@ from shelfwise.llm.common import ASCII_LOWER, utf8, written
 from shelfwise.llm.elias_fano import BigramTrie
 
 # Tokens after which a block ends with its document, and distinct pairs for which there is a shard.
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_800_000
 SHARD_PAIRS = 1_000_000
 # A word with over 1.5 of so many parts of all tokens is split; twice as many words can be.
 HOT_PARTS = 1000

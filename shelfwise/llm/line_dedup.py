@@ -115,7 +115,10 @@ def _may_match(similarity: int) -> str:
 
 
 def _with_candidates(lines: DataFrame, rarity: Column, similarity: int) -> DataFrame:
-    """``id`` of the lines that share a prefix word with another line and pass all filters with it."""
+    """``id, words``: lines that share a prefix word with another and pass all filters with it, and these words.
+
+    Of two lines that match, both keep the first prefix word they share.
+    """
     rows = (
         lines.select("line", "id")
         .distinct()
@@ -125,7 +128,9 @@ def _with_candidates(lines: DataFrame, rarity: Column, similarity: int) -> DataF
     )
     close = f"bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= x.n + y.n - 2 * {_overlap(similarity)}"
     condition = f"x.word = y.word AND x.id <> y.id AND {_may_match(similarity)} AND {close}"
-    return rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi").select("id").distinct()
+    left = rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi")
+    # No more words than the line's prefix has.
+    return left.groupBy("id").agg(F.collect_list(F.struct("place", "word")).alias("words"))
 
 
 def _cell(hashed: Column) -> tuple[Column, Column]:
@@ -152,9 +157,10 @@ def _firsts(lines: DataFrame) -> DataFrame:
 def _covered(lines: DataFrame, some: DataFrame, rarity: Column, similarity: int) -> DataFrame:
     """``id`` of the lines with another line that matches and comes earlier."""
     rows = (
-        _firsts(lines.where(_passes(some)).join(some, "id", "left_semi"))
-        .select("id", "first", _ids(F.col("line"), rarity).alias("ids"))
-        .select("id", "first", "ids", _count(F.col("ids")).alias("n"), F.posexplode_outer(F.slice("ids", F.lit(1), _prefix(similarity))).alias("place", "word"))
+        _firsts(lines.where(_passes(some)))
+        .join(some, "id")
+        .select("id", "first", "words", _ids(F.col("line"), rarity).alias("ids"))
+        .select("id", "first", "ids", _count(F.col("ids")).alias("n"), F.inline_outer("words"))
     )
     # Both sides use all columns, so that Spark shuffles the rows once for both.
     condition = (
