@@ -26,6 +26,11 @@ def date_path(date: Column) -> list[Column]:
     return [F.lpad(part.cast("string"), width, "0").alias(name) for name, part, width in parts]
 
 
+def utc_now() -> Column:
+    """The time now in UTC, without a zone, whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+
+
 def utc_today() -> Column:
     """Today's date in UTC, whatever the session time zone."""
-    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp()))
+    return F.to_date(utc_now())

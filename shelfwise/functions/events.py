@@ -11,6 +11,13 @@ from shelfwise.schema import EVENT_FIELDS
 
 _JSON_SPACE = " \t\r\n"
 _ISO_TYPES = ("date", "timestamp_ntz")
+_FLAT_OBJECT = r"^[ \t\r\n]*\{[^{}\[\]]*\}[ \t\r\n]*$"
+# A date, then perhaps a time, then perhaps an offset; the cast checks the numbers.
+_ISO_TEXT = (
+    r"^\s*\d{4}-\d{2}-\d{2}"
+    r"([T ]\d{1,2}:\d{1,2}(:\d{1,2}([.]\d{1,9})?)?)?"
+    r"\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)?\s*$"
+)
 
 
 def decode_text(value: Column) -> Column:
@@ -29,8 +36,17 @@ def one_line(text: Column) -> Column:
 
 
 def parse_event(line: Column) -> Column:
-    """The line as a variant; NULL when it is not one valid JSON document."""
-    return F.try_parse_json(line)
+    """The line as a variant; NULL when it is not one valid JSON document.
+
+    Spark's parser passes over whatever follows the first document. Nothing can follow an
+    object without inner braces or brackets that spans the line. Any other line must also
+    be valid as the one element of a list and as the one value of an object: what
+    follows a document cannot go on both.
+    """
+    in_list = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"line":'), line, F.lit("}")))
+    alone = line.rlike(_FLAT_OBJECT) | (in_list.isNotNull() & in_object.isNotNull())
+    return F.when(alone, F.try_parse_json(line))
 
 
 def is_blank(line: Column) -> Column:
@@ -53,7 +69,7 @@ def field_text(name: str, event: str = "event") -> Column:
 
 def from_iso(text: Column, data_type: str) -> Column:
     """A date or time read from ISO text; NULL for any other text."""
-    return F.when(F.substring(text, 5, 1) == F.lit("-"), text.try_cast(data_type))
+    return F.when(text.rlike(_ISO_TEXT), text.try_cast(data_type))
 
 
 def field(name: str, event: str = "event") -> Column:

@@ -8,35 +8,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from shelfwise import Lakehouse, predict_stockouts, publish_views, refresh, tune
+from shelfwise import Lakehouse, predict_stockouts, publish_predictions, publish_views, refresh, tune
 from shelfwise.operators import run_report
-from shelfwise.schema import DEFAULT_TOPIC, RAW_FILE_GLOB
+from shelfwise.schema import (
+    DEFAULT_TOPIC,
+    MAX_BATCH_EVENTS,
+    MAX_TASK_EVENTS,
+    RAW_FILE_GLOB,
+    RAW_PATH_REGEX,
+    REMEMBER_FILES,
+)
 from shelfwise.sources import read_bronze, read_topic
-from shelfwise.streaming import LANDED_FILES, land_raw, load_bronze
+from shelfwise.streaming import land_raw, load_bronze
 
 
 def _land(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = read_topic(spark, args.servers, args.topic)
-    land_raw(messages, args.raw, args.checkpoint).awaitTermination()
+    messages = read_topic(
+        spark,
+        args.servers,
+        args.topic,
+        max_events_per_batch=args.max_batch_events,
+        max_events_per_task=args.max_task_events,
+    )
+    land_raw(messages, args.raw, args.checkpoint, files_per_day=args.files_per_day).awaitTermination()
 
 
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
-    files = LANDED_FILES if args.landed else {"name_glob": args.files}
-    load_bronze(spark, args.raw, args.bronze, args.checkpoint, **files).awaitTermination()
+    query = load_bronze(
+        spark,
+        args.raw,
+        args.bronze,
+        args.checkpoint,
+        name_glob=args.files,
+        path_regex=args.paths,
+        archive=args.archive,
+        remember=args.remember,
+    )
+    query.awaitTermination()
+    lines = sum(progress.numInputRows for progress in query.recentProgress)
+    print(f"Lines read: {lines}" if lines else f"No new file below {args.raw} is named {args.files} and matches {args.paths}")
 
 
 def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
     mode = "quarantine" if args.quarantine else "raise"
-    tables = refresh(spark, read_bronze(spark, args.bronze), args.out, on_cast_error=mode)
+    tables = refresh(
+        spark, read_bronze(spark, args.bronze), args.out, on_cast_error=mode, overwrite=args.overwrite
+    )
     if args.publish:
         publish_views(tables, args.bronze)
 
 
 def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Lakehouse(spark, args.tables)
-    predict_stockouts(tables)
+    predict_stockouts(tables, keep_keys=args.keep_keys)
+    if not args.no_publish:
+        publish_predictions(tables, keyed=args.keep_keys)
     rows, top = run_report(tables.stockout_predictions)
-    print("Rows used:", rows)
+    print(f"{rows} rows scored; those of highest risk:")
     top.show(truncate=False)
 
 
@@ -54,13 +82,21 @@ def _parser() -> argparse.ArgumentParser:
 
     land = job("land", _land, "servers", "raw", "checkpoint")
     land.add_argument("--topic", default=DEFAULT_TOPIC)
+    land.add_argument("--max-batch-events", type=int, default=MAX_BATCH_EVENTS)
+    land.add_argument("--max-task-events", type=int, default=MAX_TASK_EVENTS)
+    land.add_argument("--files-per-day", type=int, default=4, help="most files a batch adds for a day")
     load = job("load", _load, "raw", "bronze", "checkpoint")
     load.add_argument("--files", default=RAW_FILE_GLOB, help="name pattern of the raw files")
-    load.add_argument("--landed", action="store_true", help="raw was written by the land job")
+    load.add_argument("--paths", default=RAW_PATH_REGEX, help="regular expression that their paths match")
+    load.add_argument("--archive", help="folder to which loaded files are moved")
+    load.add_argument("--remember", default=REMEMBER_FILES, help="how long loaded files are remembered")
     full = job("refresh", _refresh, "bronze", "out")
     full.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
+    full.add_argument("--overwrite", action="store_true", help="replace a run that nobody reads")
     full.add_argument("--publish", action="store_true", help="point the catalog views at the result")
-    job("predict", _predict, "tables")
+    predict = job("predict", _predict, "tables")
+    predict.add_argument("--keep-keys", action="store_true", help="write the table with keys as well")
+    predict.add_argument("--no-publish", action="store_true", help="leave the catalog as it is")
     return parser
 
 

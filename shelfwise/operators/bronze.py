@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.calendar import utc_now
 from shelfwise.functions.events import is_blank, parse_event
 
 LOADED = "loaded"
@@ -19,7 +20,7 @@ def parse_lines(lines: DataFrame, line: str = "value", source_file: Column | Non
     """
     origin = F.lit(None).cast("string") if source_file is None else source_file
     parsed = lines.where(~is_blank(F.col(line))).select(
-        F.localtimestamp().alias("ingested_at"),
+        utc_now().alias("ingested_at"),
         parse_event(F.col(line)).alias("event"),
         F.col(line).alias("line"),
         origin.alias("source_file"),

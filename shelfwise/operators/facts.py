@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.ranking import latest_per_key
 from shelfwise.schema import DAILY_KEYS, NUMBER
 
 
@@ -20,44 +21,19 @@ def fact_sales_daily(sales: DataFrame) -> DataFrame:
     )
 
 
-def _reading_order() -> Column:
-    """One number that sorts readings by time, and at the same microsecond by lower stock first.
-
-    Seconds with six decimals, shifted left, minus the stock. A reading without a
-    time counts as the newest; one without a stock counts as the highest stock.
-    Stocks beyond a trillion compare as equal here, which matters only to the
-    choice among readings of the same microsecond. The time is measured from a
-    zone-less epoch, so the session time zone plays no part.
-    """
-    return F.expr(
-        """
-        coalesce(
-            cast(cast(event_time - timestamp_ntz'1970-01-01' as interval second) as decimal(19,6)),
-            9999999999999bd
-        ) * 10000000000000000000bd
-        - if(
-            on_hand is null,
-            2000000000000bd,
-            cast(greatest(least(on_hand, 1000000000000bd), -1000000000000bd) as decimal(13,0))
-        )
-        """
-    )
-
-
 def fact_inventory_daily(inventory: DataFrame) -> DataFrame:
     """The latest reading of each day, store and product.
 
-    Ordering by one fixed-width number keeps this a hash aggregate with map-side
-    combine: no sort, and one row per key and task to shuffle however many
-    readings a key has.
+    A reading without a time counts as the newest; of equal times the lowest stock wins,
+    and a reading without a stock comes last. Each task keeps one row per key before the
+    shuffle, however many readings a key has.
     """
-    timeless = F.max(F.col("event_time").isNull())
-    return (
-        inventory.withColumnRenamed("event_date", "date")
-        .withColumn("on_hand", F.col("on_hand").cast(NUMBER))
-        .groupBy(*DAILY_KEYS)
-        .agg(
-            F.max_by("on_hand", _reading_order()).alias("on_hand_latest"),
-            F.when(~timeless, F.max("event_time")).alias("last_inventory_time"),
-        )
+    readings = inventory.select(
+        F.col("event_date").alias("date"),
+        "store_id",
+        "product_id",
+        F.col("on_hand").cast(NUMBER).alias("on_hand_latest"),
+        F.col("event_time").alias("last_inventory_time"),
     )
+    newest = [F.col("last_inventory_time").desc_nulls_first(), F.col("on_hand_latest").asc_nulls_last()]
+    return latest_per_key(readings, DAILY_KEYS, newest)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,19 @@ def riskiest(predicted: DataFrame, k: int = REPORT_SIZE, nulls_first: bool = Tru
 
 
 def run_report(predicted: DataFrame, k: int = REPORT_SIZE) -> tuple[int, DataFrame]:
-    """Number of rows used, and the rows of highest risk with unknown risks last."""
+    """Number of rows used, and the rows of highest risk with unknown risks last.
+
+    One pass over them: equal rows are merged and counted first, which leaves few, and
+    both the number and the ``k`` rows that are shown come from these.
+    """
     columns = [*FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN]
-    return predicted.count(), riskiest(predicted.select(*columns), k, nulls_first=False)
+    merged = predicted.groupBy(*columns).agg(F.count(F.lit(1)).alias("_times")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = merged.agg(F.sum("_times")).first()[0] or 0
+        # Of equal rows no more than k can be shown.
+        repeated = merged.withColumn("_time", F.explode(F.sequence(F.lit(1), F.least("_times", F.lit(k)).cast("int"))))
+        shown = repeated.select(*columns)
+        top = riskiest(shown, k, nulls_first=False).collect()
+    finally:
+        merged.unpersist()
+    return rows, predicted.sparkSession.createDataFrame(top, shown.schema)

@@ -21,7 +21,6 @@ from shelfwise.schema import (
 
 _WEIGHT = "_weight"
 _VECTOR = "_vector"
-_POINTS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -52,7 +51,13 @@ def training_set(
     )
 
 
-def train_stockout(training: DataFrame, c: float = 1.0, max_iter: int = 1000, tol: float = 1e-12) -> StockoutModel:
+def train_stockout(
+    training: DataFrame,
+    c: float = 1.0,
+    max_iter: int = 1000,
+    tol: float = 1e-12,
+    tasks: int | None = None,
+) -> StockoutModel:
     """Fit an L2-penalised logistic regression with a free intercept on unscaled inputs.
 
     ``c`` is the weight of the log-loss sum against half the squared norm of the
@@ -60,26 +65,29 @@ def train_stockout(training: DataFrame, c: float = 1.0, max_iter: int = 1000, to
 
     The inputs are small whole numbers, so equal rows are merged into one weighted
     row first: the iterations then run over the distinct rows, and the optimum is
-    the same.
+    the same. ``tasks`` sets in how many tasks an iteration reads them; without it
+    they stay as the merge left them.
+
+    An empty set, one with a single label, one with a NULL input, and a fit that has
+    not settled after ``max_iter`` iterations are refused.
     """
-    merged = training.groupBy(*FEATURE_COLUMNS, LABEL_COLUMN).agg(
-        F.count(F.lit(1)).cast("double").alias(_WEIGHT)
-    )
-    numeric = merged.select(
-        *[F.col(name).cast("double").alias(name) for name in FEATURE_COLUMNS],
-        F.col(LABEL_COLUMN).cast("double").alias(LABEL_COLUMN),
-        _WEIGHT,
+    merged = (
+        training.groupBy(*FEATURE_COLUMNS, LABEL_COLUMN)
+        .agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
+        .select(
+            *[F.col(name).cast("double").alias(name) for name in FEATURE_COLUMNS],
+            F.col(LABEL_COLUMN).cast("double").alias(LABEL_COLUMN),
+            _WEIGHT,
+        )
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     points = (
         VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol=_VECTOR)
-        .transform(numeric)
+        .transform(merged)
         .select(_VECTOR, LABEL_COLUMN, _WEIGHT)
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        rows, points_count = _checked_counts(points)
-        # Every iteration is one pass; a small merged set needs few tasks for it.
-        tasks = points_count // _POINTS_PER_TASK + 1
+        rows = _checked_count(merged)
         fitted = LogisticRegression(
             featuresCol=_VECTOR,
             labelCol=LABEL_COLUMN,
@@ -91,25 +99,31 @@ def train_stockout(training: DataFrame, c: float = 1.0, max_iter: int = 1000, to
             fitIntercept=True,
             maxIter=max_iter,
             tol=tol,
-        ).fit(points.coalesce(tasks))
+        ).fit(points if tasks is None else points.coalesce(tasks))
     finally:
-        points.unpersist()
+        merged.unpersist()
+    iterations = fitted.summary.totalIterations
+    if iterations >= max_iter:
+        raise RuntimeError(f"training has not settled after {iterations} iterations; raise max_iter")
     return StockoutModel(tuple(float(w) for w in fitted.coefficients), float(fitted.intercept), rows)
 
 
-def _checked_counts(points: DataFrame) -> tuple[int, int]:
-    """Rows behind the merged points, and the points; two labels must be there."""
-    row = points.agg(
-        F.sum(_WEIGHT).alias("rows"),
-        F.count(F.lit(1)).alias("points"),
+def _checked_count(merged: DataFrame) -> int:
+    """Rows behind the merged ones; all inputs and both labels must be there."""
+    row = merged.agg(
+        F.sum(_WEIGHT).alias(_WEIGHT),
         F.min(LABEL_COLUMN).alias("low"),
         F.max(LABEL_COLUMN).alias("high"),
+        *[F.sum(F.when(F.col(name).isNull(), F.col(_WEIGHT))).alias(name) for name in FEATURE_COLUMNS],
     ).first()
-    if row["rows"] is None:
+    if row[_WEIGHT] is None:
         raise ValueError("the training set is empty")
+    missing = [f"{name} in {row[name]:.0f} rows" for name in FEATURE_COLUMNS if row[name]]
+    if missing:
+        raise ValueError(f"the training set has NULL inputs: {', '.join(missing)}; drop these rows or give them a value")
     if row["low"] == row["high"]:
         raise ValueError(f"the training set holds only label {row['low']:g}; two are needed")
-    return int(row["rows"]), row["points"]
+    return int(row[_WEIGHT])
 
 
 def _probability(model: StockoutModel) -> Column:

@@ -1,6 +1,6 @@
 """Whole jobs: the ordered full refresh, the prediction job, catalog views."""
 
-from shelfwise.plans.catalog import publish_views
+from shelfwise.plans.catalog import publish_predictions, publish_views
 from shelfwise.plans.refresh import Lakehouse, predict_stockouts, refresh
 
-__all__ = ["Lakehouse", "predict_stockouts", "publish_views", "refresh"]
+__all__ = ["Lakehouse", "predict_stockouts", "publish_predictions", "publish_views", "refresh"]

@@ -26,8 +26,9 @@ _SILVER = {
 def publish_views(tables: Lakehouse, bronze: str | None = None, with_predictions: bool = False) -> None:
     """Point the catalog at a refresh: ``silver.sales_events``, ``gold.dim_date`` and so on.
 
-    Replacing a view is atomic, so a query sees the old tables or the new ones,
-    never a half-written state.
+    The views are replaced one after the other. Each switches at once, from a whole old
+    table to a whole new one; a query that joins two of them while they switch can read
+    one of either run.
     """
     spark = tables.spark
     for namespace in ("bronze", "silver", "gold"):
@@ -36,15 +37,28 @@ def publish_views(tables: Lakehouse, bronze: str | None = None, with_predictions
         _view(spark, "bronze.raw_events", bronze, S.BRONZE_SCHEMA, "status = 'loaded'")
     for name, (kind, columns) in _SILVER.items():
         _view(spark, name, tables.path("silver.events"), columns, f"event_type = '{kind}'")
-    gold = dict(_GOLD)
-    if with_predictions:
-        gold["gold.stockout_predictions"] = S.PREDICTIONS_SCHEMA
-    for name, columns in gold.items():
+    for name, columns in _GOLD.items():
         _view(spark, name, tables.path(name), columns, "true")
+    if with_predictions:
+        publish_predictions(tables)
+
+
+def publish_predictions(tables: Lakehouse, keyed: bool = False) -> None:
+    """Point ``gold.stockout_predictions`` at a run's, and the table with the keys if it was written."""
+    spark = tables.spark
+    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    name = "gold.stockout_predictions"
+    _view(spark, name, tables.path(name), S.PREDICTIONS_SCHEMA, "true")
+    if keyed:
+        _view(spark, f"{name}_keyed", tables.path(f"{name}_keyed"), S.KEYED_PREDICTIONS_SCHEMA, "true")
 
 
 def _view(spark: SparkSession, name: str, path: str, columns: T.StructType, condition: str) -> None:
-    chosen = ", ".join(f"`{column}`" for column in columns.fieldNames())
+    # A partition column's type is guessed from the folders' names, so it is stated here.
+    chosen = ", ".join(
+        f"`{f.name}`" if isinstance(f.dataType, T.VariantType) else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in columns.fields
+    )
     try:
         spark.read.parquet(path)
         body = f"SELECT {chosen} FROM parquet.`{path}` WHERE {condition}"

@@ -19,7 +19,7 @@ from shelfwise.operators.stockout import (
     train_stockout,
     training_set,
 )
-from shelfwise.sources.tables import full_refresh, read_table
+from shelfwise.sources.tables import exists, full_refresh, read_table
 
 
 @dataclass(frozen=True)
@@ -80,6 +80,10 @@ class Lakehouse:
     def stockout_predictions(self) -> DataFrame:
         return self._read("gold.stockout_predictions", S.PREDICTIONS_SCHEMA)
 
+    @property
+    def stockout_predictions_keyed(self) -> DataFrame:
+        return self._read("gold.stockout_predictions_keyed", S.KEYED_PREDICTIONS_SCHEMA)
+
 
 def refresh(
     spark: SparkSession,
@@ -87,21 +91,28 @@ def refresh(
     out: str,
     on_cast_error: str = "raise",
     threshold: int = S.LOW_STOCK_THRESHOLD,
+    overwrite: bool = False,
 ) -> Lakehouse:
     """Rebuild Silver, dimensions, facts and features, in this order, below ``out``.
 
     Each step reads what the one before it wrote, and the first failure stops the
     chain. Bronze is scanned twice: once for both Silver tables, once for all
-    dimensions. Facts read Silver, where each kind is its own partition. Give
-    every run a new ``out`` and switch readers with ``publish_views``.
+    dimensions. Facts read Silver, where each kind and day is its own partition; facts
+    and features are partitioned by day, so one day can be read alone. Give every run a
+    new ``out`` and switch readers with ``publish_views``: a folder that holds a run
+    already is refused, unless ``overwrite`` says that nobody reads it.
 
     A value that cannot be cast fails the refresh. With ``on_cast_error`` set to
     ``quarantine`` its event goes to ``cast_failures`` instead, from one more scan.
     """
     tables = Lakehouse(spark, out)
+    if not overwrite and exists(spark, tables.path("silver.events")):
+        raise FileExistsError(f"{out} holds a run already; give each run a new folder, or set overwrite")
 
     full_refresh(
-        silver_events(bronze, on_cast_error), tables.path("silver.events"), ("event_type",)
+        by_day(silver_events(bronze, on_cast_error), "event_type", "event_date"),
+        tables.path("silver.events"),
+        ("event_type", "event_date"),
     )
 
     if on_cast_error == "quarantine":
@@ -114,23 +125,33 @@ def refresh(
     full_refresh(D.members_to_dim_store(members), tables.path("gold.dim_store"))
     full_refresh(D.members_to_dim_product(members), tables.path("gold.dim_product"))
 
-    full_refresh(fact_sales_daily(tables.sales_events), tables.path("gold.fact_sales_daily"))
-    full_refresh(
-        fact_inventory_daily(tables.inventory_events), tables.path("gold.fact_inventory_daily")
-    )
+    def daily(df: DataFrame, table: str) -> None:
+        full_refresh(by_day(df, "date"), tables.path(table), ("date",))
 
-    full_refresh(
-        features_daily(tables.fact_sales_daily, tables.fact_inventory_daily, threshold),
-        tables.path("gold.features_daily"),
-    )
+    daily(fact_sales_daily(tables.sales_events), "gold.fact_sales_daily")
+    daily(fact_inventory_daily(tables.inventory_events), "gold.fact_inventory_daily")
+    features = features_daily(tables.fact_sales_daily, tables.fact_inventory_daily, threshold)
+    daily(features, "gold.features_daily")
     return tables
 
 
+def by_day(df: DataFrame, *names: str) -> DataFrame:
+    """The rows of a day brought together, so that it has few files; Spark splits large days by size."""
+    return df.hint("rebalance", *names)
+
+
 def predict_stockouts(
-    tables: Lakehouse, c: float = 1.0, missing_inventory: str = "zero"
+    tables: Lakehouse, c: float = 1.0, missing_inventory: str = "zero", keep_keys: bool = False
 ) -> StockoutModel:
-    """Train on the feature table, score the same rows and rewrite the prediction table."""
-    training = training_set(tables.features_daily, missing_inventory)
+    """Train on the feature table, score the same rows and rewrite the prediction table.
+
+    ``keep_keys`` writes ``gold.stockout_predictions_keyed`` beside it, the same rows with
+    their date, store and product.
+    """
+    training = training_set(tables.features_daily, missing_inventory, keep_keys=True)
     model = train_stockout(training, c)
-    full_refresh(predictions(score(training, model)), tables.path("gold.stockout_predictions"))
+    scored = score(training, model)
+    full_refresh(predictions(scored), tables.path("gold.stockout_predictions"))
+    if keep_keys:
+        full_refresh(predictions(scored, keep_keys=True), tables.path("gold.stockout_predictions_keyed"))
     return model

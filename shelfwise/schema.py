@@ -12,9 +12,20 @@ REPORT_SIZE = 10
 FLUSH_EVENTS = 5000
 FLUSH_INTERVAL = "1h"
 DEFAULT_TOPIC = "retail_events"
-RAW_FILE_GLOB = "*.jsonl"
 MAX_LOAD_BYTES = 1 << 40
 
+# Raw files: those named so by other producers, and those of the landing job, but for the
+# messages that it set aside.
+RAW_FILE_GLOB = "{*.jsonl,part-*.txt}"
+RAW_PATH_REGEX = "^(?!.*/state=(quarantined|undated)/)"
+
+# Bounds on one batch of the topic, and on the part of it that one task reads.
+MAX_BATCH_EVENTS = 10_000_000
+MAX_TASK_EVENTS = 500_000
+# How long the stream of raw files remembers a file; it passes over files older than that
+# against the newest. The default of a week would pass over a backfilled file that kept its time.
+REMEMBER_FILES = "36500d"
+
 NUMBER = "decimal(38,0)"
 
 # JSON field -> type it is cast to.
@@ -98,3 +109,6 @@ PREDICTIONS_SCHEMA = _struct(
     stockout_risk_label=_NUMBER,
     pred_stockout_prob=T.DoubleType(),
 )
+KEYED_PREDICTIONS_SCHEMA = _struct(
+    date=_DATE, store_id=_TEXT, product_id=_TEXT, **{f.name: f.dataType for f in PREDICTIONS_SCHEMA.fields}
+)

@@ -21,7 +21,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
-_fallback_root: str | None = None
+_fallback_root: tempfile.TemporaryDirectory | None = None
 
 
 def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
@@ -43,8 +43,9 @@ def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSes
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the cluster's shared checkpoint folder.
 
-    A local session without that setting gets a temporary folder; a cluster
-    without it is an error, since executors could not see a driver-local path.
+    A local session without that setting gets a temporary folder that goes when Python
+    ends; a cluster without it is an error, since executors could not see a
+    driver-local path. What is below the named folder is its owner's to remove.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -57,5 +58,5 @@ def _local_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _fallback_root is None:
-        _fallback_root = tempfile.mkdtemp(prefix="shelfwise-")
-    return _fallback_root
+        _fallback_root = tempfile.TemporaryDirectory(prefix="shelfwise-")
+    return _fallback_root.name

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.schema import DEFAULT_TOPIC, FLUSH_EVENTS, FLUSH_INTERVAL
+from shelfwise.schema import DEFAULT_TOPIC, FLUSH_EVENTS, FLUSH_INTERVAL, MAX_BATCH_EVENTS, MAX_TASK_EVENTS
 
 
 def _servers(bootstrap_servers: str) -> str:
@@ -22,15 +22,16 @@ def kafka_read_options(
     group_id: str | None = None,
     flush_events: int = FLUSH_EVENTS,
     flush_interval: str = FLUSH_INTERVAL,
-    max_events_per_batch: int | None = None,
-    max_events_per_task: int | None = None,
+    max_events_per_batch: int | None = MAX_BATCH_EVENTS,
+    max_events_per_task: int | None = MAX_TASK_EVENTS,
     poll_timeout_ms: int | None = None,
     fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Read from the earliest offset; a batch starts at ``flush_events`` or ``flush_interval``.
 
     ``max_events_per_batch`` bounds a batch when catching up on a backlog, and
-    ``max_events_per_task`` splits a hot topic partition over several tasks. Offsets
+    ``max_events_per_task`` splits a hot topic partition over several tasks; None
+    lifts either bound. Offsets
     that the topic no longer holds stop the stream unless ``fail_on_data_loss`` is
     off; offsets are kept in the checkpoint, not committed to the broker.
     """

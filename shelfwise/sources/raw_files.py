@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.schema import RAW_FILE_GLOB
-
-# Spark forgets files older than this relative to the newest one. The default of a
-# week would silently pass over a backfilled file that kept its old timestamp.
-_REMEMBER_FILES = "36500d"
+from shelfwise.schema import RAW_FILE_GLOB, RAW_PATH_REGEX, REMEMBER_FILES
 
 
 def source_file() -> Column:
@@ -26,7 +22,7 @@ def _lines(df: DataFrame, path_regex: str | None) -> DataFrame:
 
 
 def scan_raw(
-    spark: SparkSession, path: str, name_glob: str = RAW_FILE_GLOB, path_regex: str | None = None
+    spark: SparkSession, path: str, name_glob: str = RAW_FILE_GLOB, path_regex: str | None = RAW_PATH_REGEX
 ) -> DataFrame:
     """All lines of the matching files below ``path``, with the file each came from."""
     return _lines(spark.read.options(**_options(name_glob)).text(path), path_regex)
@@ -36,11 +32,20 @@ def stream_raw(
     spark: SparkSession,
     path: str,
     name_glob: str = RAW_FILE_GLOB,
-    path_regex: str | None = None,
+    path_regex: str | None = RAW_PATH_REGEX,
     max_bytes_per_trigger: int | None = None,
+    archive: str | None = None,
+    remember: str = REMEMBER_FILES,
 ) -> DataFrame:
-    """Like ``scan_raw`` as a stream that reads every file once."""
-    options = {**_options(name_glob), "maxFileAge": _REMEMBER_FILES}
+    """Like ``scan_raw`` as a stream that reads every file once.
+
+    The driver remembers each file it has read for as long as ``remember``. To keep that
+    memory bounded over years, give an ``archive`` outside ``path``, into which Spark moves
+    files once they are read, and a ``remember`` longer than any file may come late.
+    """
+    options = {**_options(name_glob), "maxFileAge": remember}
+    if archive is not None:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     if max_bytes_per_trigger is not None:
         options["maxBytesPerTrigger"] = str(max_bytes_per_trigger)
     return _lines(spark.readStream.options(**options).text(path), path_regex)

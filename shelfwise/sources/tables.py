@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,9 +18,20 @@ def full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     writer.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at the path."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table with its declared schema, also when it holds no file yet."""
-    return spark.read.schema(schema).parquet(path)
+    """A table with its declared schema, columns in its order, also when it holds no file yet."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,14 @@
 """Streaming jobs: publish events, land raw lines, load Bronze."""
 
 from shelfwise.streaming.bronze_load import load_bronze
-from shelfwise.streaming.landing import LANDED_FILES, land_raw, landed_lines, quarantined_lines, route_messages
+from shelfwise.streaming.landing import (
+    LANDED_FILES,
+    land_raw,
+    landed_lines,
+    quarantined_lines,
+    route_messages,
+    undated_lines,
+)
 from shelfwise.streaming.publish import encode_events, publish, publish_stream
 
 __all__ = [
@@ -14,4 +21,5 @@ __all__ = [
     "publish_stream",
     "quarantined_lines",
     "route_messages",
+    "undated_lines",
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.operators.bronze import parse_lines
-from shelfwise.schema import MAX_LOAD_BYTES, RAW_FILE_GLOB
+from shelfwise.schema import MAX_LOAD_BYTES, RAW_FILE_GLOB, RAW_PATH_REGEX, REMEMBER_FILES
 from shelfwise.sources.raw_files import stream_raw
 
 
@@ -17,9 +17,11 @@ def load_bronze(
     bronze: str,
     checkpoint: str,
     name_glob: str = RAW_FILE_GLOB,
-    path_regex: str | None = None,
+    path_regex: str | None = RAW_PATH_REGEX,
     max_bytes_per_trigger: int | None = MAX_LOAD_BYTES,
     trigger: dict | None = None,
+    archive: str | None = None,
+    remember: str = REMEMBER_FILES,
 ) -> StreamingQuery:
     """Load every file below ``raw`` once; run again, it loads only new files.
 
@@ -28,9 +30,10 @@ def load_bronze(
     them with ``read_bronze`` and ``read_rejects``.
 
     A large backlog loads in batches of ``max_bytes_per_trigger``, so a failure
-    costs one batch and not the whole load.
+    costs one batch and not the whole load. ``archive`` and ``remember`` are those of
+    ``stream_raw``: they bound what is remembered of files already loaded.
     """
-    lines = stream_raw(spark, raw, name_glob, path_regex, max_bytes_per_trigger)
+    lines = stream_raw(spark, raw, name_glob, path_regex, max_bytes_per_trigger, archive, remember)
     return (
         parse_lines(lines, source_file=F.col("source_file"))
         .writeStream.format("parquet")

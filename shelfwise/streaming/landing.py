@@ -18,34 +18,48 @@ from shelfwise.functions.events import (
 
 LANDED = "landed"
 QUARANTINED = "quarantined"
+UNDATED = "undated"
 
-# Arguments for ``load_bronze`` and ``scan_raw`` that select the landed files.
+# Arguments for ``load_bronze`` and ``scan_raw`` that select the landed files and no others.
 LANDED_FILES = {"name_glob": "*.txt", "path_regex": "/state=landed/"}
 
 _LAYOUT = ("state", "y", "m", "d")
+_ENCODED = "base64:"
 
 
 def route_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Each message as one line of text with the place it is filed under.
 
     A message is filed under its own event date, or today's (UTC) when it has
-    none. Its text is kept as it came. One that is not a JSON object is
-    quarantined instead of stopping the stream.
+    none. Its text is kept as it came, but for line breaks between the tokens of a
+    JSON document, which become blanks. One that is not a JSON object, or whose
+    date is there but cannot be read, is quarantined instead of stopping the stream:
+    ``state=quarantined`` and ``state=undated`` hold them under the day they came.
+    There a message that is one plain line stands as it came, and any other as
+    ``base64:`` and the base64 of its bytes.
     """
     decoded = (
         messages.select(F.col(value).cast("binary").alias("bytes"))
         .withColumn("text", decode_text(F.col("bytes")))
         .withColumn("line", one_line(F.col("text")))
         .withColumn("event", parse_event(F.col("line")))
-        .withColumn("date_text", field_text("event_date"))
-        .withColumn("date", F.coalesce(from_iso(F.col("date_text"), "date"), utc_today()))
+        .withColumn("date_text", F.trim(field_text("event_date")))
+        .withColumn("own_date", from_iso(F.col("date_text"), "date"))
     )
     is_event = F.coalesce(is_json_object(F.col("line"), F.col("event")), F.lit(False))
-    return decoded.select(
-        F.when(is_event, F.lit(LANDED)).otherwise(F.lit(QUARANTINED)).alias("state"),
-        *date_path(F.col("date")),
-        # Bytes that are no text are kept readable, and whole, as base64.
-        F.coalesce("line", F.base64("bytes")).alias("value"),
+    has_date = F.coalesce(F.col("date_text") != "", F.lit(False))
+    state = (
+        F.when(~is_event, F.lit(QUARANTINED))
+        .when(has_date & F.col("own_date").isNull(), F.lit(UNDATED))
+        .otherwise(F.lit(LANDED))
+    )
+    own_date = F.when(is_event, F.col("own_date"))
+    plain = F.coalesce((F.col("line") == F.col("text")) & ~F.col("text").startswith(_ENCODED), F.lit(False))
+    encoded = F.concat(F.lit(_ENCODED), F.base64("bytes"))
+    return decoded.withColumn("state", state).select(
+        "state",
+        *date_path(F.coalesce(own_date, utc_today())),
+        F.when((F.col("state") == LANDED) | plain, F.col("line")).otherwise(encoded).alias("value"),
     )
 
 
@@ -55,6 +69,7 @@ def land_raw(
     checkpoint: str,
     trigger: dict | None = None,
     value: str = "value",
+    files_per_day: int = 4,
 ) -> StreamingQuery:
     """Append messages below ``out/state=…/y=…/m=…/d=…/`` exactly once.
 
@@ -62,11 +77,17 @@ def land_raw(
     runs as soon as the source offers one; a topic read with ``read_topic`` does
     so by count or time. Give other sources ``{"processingTime": "1 hour"}`` to
     gather as long, or ``{"availableNow": True}`` to drain what is there and stop.
+
+    Lines of one day are brought together before the write, so a batch adds at most
+    ``files_per_day`` files for each day in it, however many tasks read it; a busy day is
+    shared by as many tasks.
     """
     if not out or not checkpoint:
         raise ValueError("an output path and a checkpoint path are required")
+    part = F.pmod(F.xxhash64("value"), F.lit(files_per_day))
     writer = (
         route_messages(messages, value)
+        .repartition(*_LAYOUT, part)
         .writeStream.format("text")
         .partitionBy(*_LAYOUT)
         .option("checkpointLocation", checkpoint)
@@ -86,3 +107,8 @@ def landed_lines(spark: SparkSession, out: str) -> DataFrame:
 
 def quarantined_lines(spark: SparkSession, out: str) -> DataFrame:
     return _read_state(spark, out, QUARANTINED)
+
+
+def undated_lines(spark: SparkSession, out: str) -> DataFrame:
+    """Events whose date is there but cannot be read."""
+    return _read_state(spark, out, UNDATED)

@@ -85,6 +85,23 @@ def test_empty_training_set_is_refused(spark):
         O.train_stockout(spark.createDataFrame([], COLUMNS))
 
 
+def test_null_inputs_are_refused(spark):
+    data = [(None, 1, 1, 0), (1, 1, 1, 1), (None, 1, None, 1)]
+    with pytest.raises(ValueError, match="total_qty_sold in 2 rows, on_hand_latest in 1 rows"):
+        O.train_stockout(spark.createDataFrame(data, COLUMNS))
+
+
+def test_an_unsettled_fit_is_refused(spark, points):
+    with pytest.raises(RuntimeError, match="not settled after 2"):
+        O.train_stockout(spark.createDataFrame(points, COLUMNS), max_iter=2)
+
+
+def test_tasks_do_not_change_the_weights(spark, points):
+    df = spark.createDataFrame(points, COLUMNS).repartition(4)
+    one, many = O.train_stockout(df, tasks=1), O.train_stockout(df)
+    np.testing.assert_allclose([*one.coefficients, one.intercept], [*many.coefficients, many.intercept], atol=1e-8)
+
+
 def test_missing_inventory_modes(spark):
     data = [(None, "s", "p", 1, 1, None, 0), (None, "s", "q", 2, 1, 5, 0), (None, "s", "r", 3, 1, 1, None)]
     features = spark.createDataFrame(

@@ -24,10 +24,14 @@ def tables(spark, tmp_path_factory):
 
 @pytest.fixture
 def no_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """Nor pruning by the other side's days, which shows its plan a second time."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def test_features_shuffle_each_fact_once_and_the_join_nothing(tables, no_broadcast):
@@ -39,12 +43,27 @@ def test_features_shuffle_each_fact_once_and_the_join_nothing(tables, no_broadca
     assert "SortMergeJoin" in plan
 
 
-def test_facts_combine_before_the_shuffle_without_sorting(tables):
-    for fact in (O.fact_sales_daily(tables.sales_events), O.fact_inventory_daily(tables.inventory_events)):
-        plan = executed_plan(fact)
-        assert plan.count("HashAggregate") == 2
-        assert "partial_" in plan
-        assert "Sort" not in plan
+def test_sales_combine_before_the_shuffle_without_sorting(tables):
+    plan = executed_plan(O.fact_sales_daily(tables.sales_events))
+    assert plan.count("HashAggregate") == 2
+    assert "partial_" in plan
+    assert "Sort" not in plan
+
+
+def test_readings_are_cut_to_one_per_key_before_the_shuffle(tables):
+    plan = executed_plan(O.fact_inventory_daily(tables.inventory_events))
+    assert plan.count("Exchange hashpartitioning") == 1
+    before = plan.split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_one_day_reads_its_own_files(tables):
+    day = "date = DATE'2024-01-05'"
+    for table in (tables.fact_sales_daily, tables.fact_inventory_daily, tables.features_daily):
+        assert re.search(r"PartitionFilters: \[[^\]]*date[^\]]*2024-01-05", executed_plan(table.where(day)))
+    events = tables.spark.read.parquet(tables.path("silver.events"))
+    plan = executed_plan(events.where("event_date = DATE'2024-01-05'").select("qty"))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date[^\]]*2024-01-05", plan)
 
 
 def test_silver_kinds_are_partitions(tables):

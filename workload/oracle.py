@@ -211,13 +211,90 @@ def _lineitem_inventory(store: str, product: str) -> str:
     SELECT CAST(l_shipdate AS DATE) AS date, CAST({store} AS VARCHAR) AS store_id,
         CAST({product} AS VARCHAR) AS product_id,
         CAST(l_quantity AS BIGINT) AS on_hand_latest, l_shipdate AS last_inventory_time
-    FROM lineitem WHERE l_returnflag = 'R'
+    FROM lineitem
     QUALIFY row_number() OVER (
         PARTITION BY CAST(l_shipdate AS DATE), {store}, {product}
         ORDER BY l_shipdate DESC NULLS FIRST, l_quantity ASC NULLS LAST) = 1"""
 
 
+# The untidy events: fields as JSON text, NULL where a field is missing.
+_UNTIDY = f"""
+untidy AS (
+    SELECT *,
+        CASE WHEN kind = 'inventory' THEN
+            CASE event_id % 11 WHEN 0 THEN 'null' WHEN 1 THEN NULL
+                ELSE strftime(event_time, '"%Y-%m-%dT%H:00:00+00:00"') END
+        ELSE
+            CASE event_id % 11 WHEN 0 THEN strftime(event_time, '"%Y-%m-%dT%H:%M:%S.%f+05:30"')
+                WHEN 1 THEN 'null' ELSE strftime(event_time, '"%Y-%m-%dT%H:%M:%S.%f+00:00"') END
+        END AS time_json,
+        CASE event_id % 13 WHEN 0 THEN 'null' WHEN 1 THEN NULL WHEN 2 THEN '""'
+            ELSE strftime(event_date, '"%Y-%m-%d"') END AS date_json,
+        CASE event_id % 7 WHEN 0 THEN 'null' WHEN 1 THEN NULL ELSE '"' || store_id || '"' END AS store_json,
+        CASE event_id % 17 WHEN 0 THEN NULL WHEN 1 THEN 'null' ELSE '"' || product_id || '"' END AS product_json,
+        CASE WHEN kind = 'sale' THEN
+            CASE event_id % 5 WHEN 0 THEN '"' || qty || '"' WHEN 1 THEN qty || '.5' WHEN 2 THEN 'null'
+                ELSE qty::VARCHAR END END AS qty_json,
+        CASE WHEN kind = 'inventory' THEN
+            CASE event_id % 19 WHEN 0 THEN '"' || on_hand || '"' WHEN 1 THEN 'null' WHEN 2 THEN NULL
+                ELSE on_hand::VARCHAR END END AS on_hand_json
+    FROM raw
+),
+untidy_typed AS (
+    SELECT kind, date_json, store_json, product_json,
+        CASE WHEN time_json <> 'null' THEN strptime(substr(time_json, 2, 19), '%Y-%m-%dT%H:%M:%S')
+            + to_microseconds(coalesce(try_cast(rpad(regexp_extract(time_json, '[.]([0-9]+)', 1), 6, '0') AS BIGINT), 0)) END AS event_time,
+        CASE WHEN date_json NOT IN ('null', '""') THEN event_date END AS event_date,
+        CASE WHEN store_json <> 'null' THEN store_id END AS store_id,
+        CASE WHEN product_json <> 'null' THEN product_id END AS product_id,
+        CASE WHEN qty_json <> 'null' THEN CASE event_id % 5 WHEN 1 THEN qty + 1 ELSE qty END END AS qty,
+        CASE WHEN on_hand_json <> 'null' THEN on_hand END AS on_hand
+    FROM untidy
+),
+untidy_text AS (
+    SELECT '{{' || concat_ws(',', '"event_type":"' || kind || '"', '"event_time":' || time_json,
+        '"event_date":' || date_json, '"store_id":' || store_json, '"product_id":' || product_json,
+        '"qty":' || qty_json, '"on_hand":' || on_hand_json) || '}}' AS line,
+        date_json IS NOT NULL AND date_json NOT IN ('null', '""') AS dated
+    FROM untidy
+)"""
+
+# The ways of spoiling a line, by the rest of the event's number by eight.
+_SPOILT = """
+spoilt AS (
+    SELECT event_id % 8 AS way, event_date,
+        CASE event_id % 8 WHEN 0 THEN line WHEN 1 THEN rtrim(line, '}') WHEN 2 THEN line[1:25]
+            WHEN 3 THEN line || '}' WHEN 4 THEN '[1,' || line || ']' WHEN 5 THEN event_id::VARCHAR
+            WHEN 6 THEN line || line ELSE 'x' || line END AS line
+    FROM text
+)"""
+_FROM_UNTIDY = _with(_RAW, _UNTIDY)
+_FROM_SPOILT = _with(_RAW, _TEXT, _SPOILT)
+
+
 ORACLE_SQL: dict[str, str] = {
+    # A list and a number are JSON documents, so Bronze loads them.
+    "untidy_rejected_lines": _FROM_SPOILT + "SELECT line FROM spoilt WHERE way NOT IN (0, 4, 5)",
+    "untidy_landing": _with(_RAW, _TEXT, _SPOILT, _UNTIDY)
+    + """SELECT 'landed' AS state, line, dated AS under_own_date FROM untidy_text
+    UNION ALL SELECT CASE way WHEN 0 THEN 'landed' ELSE 'quarantined' END, line, way = 0 FROM spoilt""",
+    "landing_undated": _FROM_TEXT
+    + """SELECT regexp_replace(line, '"event_date":"[^"]*"', '"event_date":"someday"') AS line
+    FROM text WHERE event_id % 3 = 0""",
+    "untidy_silver_sales": _FROM_UNTIDY
+    + "SELECT event_time, event_date, store_id, product_id, qty FROM untidy_typed WHERE kind = 'sale'",
+    "untidy_dimension_members": _FROM_UNTIDY
+    + """SELECT DISTINCT 3 AS member_of, event_date AS date, CAST(NULL AS VARCHAR) AS store_id,
+        CAST(NULL AS VARCHAR) AS product_id FROM untidy_typed WHERE date_json <> '""'
+    UNION ALL SELECT DISTINCT 5, NULL, store_id, NULL FROM untidy_typed WHERE store_json IS NOT NULL
+    UNION ALL SELECT DISTINCT 6, NULL, NULL, product_id FROM untidy_typed WHERE product_json IS NOT NULL""",
+    "untidy_dim_store": _FROM_UNTIDY + "SELECT DISTINCT store_id FROM untidy_typed WHERE store_json IS NOT NULL",
+    "untidy_fact_inventory": _FROM_UNTIDY
+    + """SELECT event_date AS date, store_id, product_id, on_hand AS on_hand_latest,
+        event_time AS last_inventory_time FROM untidy_typed WHERE kind = 'inventory'
+    QUALIFY row_number() OVER (PARTITION BY event_date, store_id, product_id
+        ORDER BY event_time DESC NULLS FIRST, on_hand ASC NULLS LAST) = 1""",
+    "bronze_ingested_at": "SELECT count(*) AS events, true AS in_time FROM events",
     "publish_encode": _FROM_TEXT + "SELECT line AS message FROM text",
     "publish_encode_roundtrip": _FROM_RAW + f"SELECT {_TYPED} FROM raw",
     "raw_file_scan": _FROM_TEXT + "SELECT line FROM text",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,12 @@ from shelfwise.functions import date_path, encode_json, field, field_or_null, is
 from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN
 from shelfwise.sources import full_refresh, read_bronze, read_rejects, scan_raw
 from shelfwise.streaming import (
-    LANDED_FILES,
     encode_events,
     land_raw,
     landed_lines,
     load_bronze,
     quarantined_lines,
+    undated_lines,
 )
 from workload import derived as W
 
@@ -75,19 +76,19 @@ def _write_files(lines: DataFrame, path: str) -> None:
 
 
 def _load_in_steps(spark: SparkSession, lines: DataFrame) -> str:
-    """Load the first half of the month, the same files again, then all files."""
+    """Load the days up to the middle of the given time, the same files again, then all files."""
     work = shared_dir(spark, "bronze-load")
-    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    days = lines.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last"))
+    middle = days.select(F.date_add("first", F.ceil(F.datediff("last", "first") / 2).cast("int"))).first()[0]
 
     def load() -> None:
-        load_bronze(
-            spark, f"{work}/raw", f"{work}/bronze", f"{work}/checkpoint", name_glob="*.txt"
-        ).awaitTermination()
+        load_bronze(spark, f"{work}/raw", f"{work}/bronze", f"{work}/checkpoint").awaitTermination()
 
-    _write_files(lines.where(F.col("ts") < middle), f"{work}/raw")
+    early = F.to_date("ts") < F.lit(middle)
+    _write_files(lines.where(early), f"{work}/raw")
     load()
     load()
-    _write_files(lines.where(F.col("ts") >= middle), f"{work}/raw")
+    _write_files(lines.where(~early), f"{work}/raw")
     load()
     return f"{work}/bronze"
 
@@ -105,11 +106,14 @@ def bronze_incremental_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines read back by the recursive batch scan with a path pattern."""
+    """Lines of the dated text files; other names and other folders hold more, and are passed over."""
     path = f"{shared_dir(spark, 'raw')}/raw"
-    _write_files(W.raw_lines(spark, sf_dir), path)
-    lines = scan_raw(spark, path, name_glob="*.txt", path_regex="/y=2024/m=01/.*[.]txt$")
-    return lines.select(F.col("value").alias("line"))
+    lines = W.raw_lines(spark, sf_dir)
+    _write_files(lines, f"{path}/events")
+    _write_files(lines.withColumn("value", F.lit("of another folder")), f"{path}/notes")
+    lines.select(F.lit("of another name")).write.csv(f"{path}/events/csv")
+    found = scan_raw(spark, path, name_glob="*.txt", path_regex=r"/events/y=\d+/m=\d+/d=\d+/")
+    return found.select(F.col("value").alias("line"))
 
 
 def _landed(spark: SparkSession, lines: DataFrame) -> str:
@@ -138,6 +142,66 @@ def raw_landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantined_lines(spark, out).select(F.col("value").alias("line"))
 
 
+# --- untidy values -------------------------------------------------------------
+
+
+def untidy_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines spoilt in several ways that are no JSON document."""
+    return O.rejected_lines(O.parse_lines(W.raw_files(spark, sf_dir, W.spoilt_lines))).select("line")
+
+
+def untidy_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines landed, by what became of them; the day is left out where it is that of the run."""
+    out = _landed(spark, W.untidy_lines(spark, sf_dir).unionByName(W.spoilt_lines(spark, sf_dir)))
+    line = F.col("value").alias("line")
+    landed = landed_lines(spark, out)
+    own = F.substring(F.get_json_object("value", "$.event_date"), 1, 10)
+    filed = F.concat_ws("-", "y", "m", "d")
+    return (
+        landed.select(F.lit("landed").alias("state"), line, F.coalesce(filed == own, F.lit(False)).alias("under_own_date"))
+        .unionAll(quarantined_lines(spark, out).select(F.lit("quarantined"), line, F.lit(False)))
+        .unionAll(undated_lines(spark, out).select(F.lit("undated"), line, F.lit(False)))
+    )
+
+
+def landing_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose date cannot be read are filed apart."""
+    lines = W.raw_lines(spark, sf_dir)
+    wrong = F.regexp_replace("value", '"event_date":"[^"]*"', '"event_date":"someday"')
+    spoilt = lines.withColumn("value", F.when(F.col("event_id") % 3 == 0, wrong).otherwise(F.col("value")))
+    return undated_lines(spark, _landed(spark, spoilt)).select(F.col("value").alias("line"))
+
+
+def untidy_silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.as_bigint(O.silver_sales(W.bronze(spark, sf_dir, W.untidy_dated_lines)), "qty")
+
+
+def untidy_dimension_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON nulls are members, missing fields are not."""
+    return O.dimension_members(W.bronze(spark, sf_dir, W.untidy_dated_lines))
+
+
+def untidy_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.dim_store(W.bronze(spark, sf_dir, W.untidy_dated_lines))
+
+
+def untidy_fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a time, and many that tie."""
+    readings = O.silver_inventory(W.bronze(spark, sf_dir, W.untidy_dated_lines))
+    return W.as_bigint(O.fact_inventory_daily(readings), "on_hand_latest")
+
+
+def bronze_ingested_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every event was loaded at one time that lies between the call and the answer, in UTC."""
+    before = F.lit(datetime.now(UTC).replace(tzinfo=None) - timedelta(seconds=1)).cast("timestamp_ntz")
+    loaded = W.bronze(spark, sf_dir)
+    now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    return loaded.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.bool_and((F.col("ingested_at") >= before) & (F.col("ingested_at") <= now)).alias("in_time"),
+    )
+
+
 # --- Silver --------------------------------------------------------------------
 
 
@@ -263,9 +327,8 @@ def stockout_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = O.train_stockout(training)
     names = [*FEATURE_COLUMNS, "intercept"]
     weights = [*model.coefficients, model.intercept]
-    # The row count comes from Spark again, so the result is a query over the set.
-    return training.agg(F.count(F.lit(1)).alias("row_count")).select(
-        "row_count",
+    return spark.range(1).select(
+        F.lit(model.rows).cast("bigint").alias("row_count"),
         *[F.round(F.lit(w), TRAINED_DECIMALS).alias(n) for n, w in zip(names, weights, strict=True)],
     )
 
@@ -294,9 +357,7 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Messages landed, loaded into Bronze and refreshed into all tables."""
     landed = _landed(spark, W.raw_lines(spark, sf_dir))
     work = shared_dir(spark, "refresh")
-    load_bronze(
-        spark, landed, f"{work}/bronze", f"{work}/checkpoint", **LANDED_FILES
-    ).awaitTermination()
+    load_bronze(spark, landed, f"{work}/bronze", f"{work}/checkpoint").awaitTermination()
     return refresh(spark, read_bronze(spark, f"{work}/bronze"), f"{work}/tables")
 
 
@@ -391,5 +452,13 @@ QUERIES: dict[str, Query] = {
         lineitem_features_daily,
         lineitem_message_text,
         orders_latest_per_customer,
+        untidy_rejected_lines,
+        untidy_landing,
+        landing_undated,
+        untidy_silver_sales,
+        untidy_dimension_members,
+        untidy_dim_store,
+        untidy_fact_inventory,
+        bronze_ingested_at,
     )
 }
