@@ -35,8 +35,10 @@ MIN_SCORE = 0.5
 
 # Words up to this many bytes go through the forward pass together; longer ones one by one.
 _TOGETHER = 48
-_GROUP = 20_000
-_KEPT_WORDS = 200_000
+_GROUP = 5_000
+_KEPT_WORDS = 50_000
+# Documents looked at together, whatever the size of the batch they come in.
+_ROWS = 500
 _LETTER = regex.compile(r"\p{L}")
 # ASCII letters and all other bytes above ASCII stay; the rest separates words.
 _LETTER_BYTES = bytes(
@@ -86,7 +88,7 @@ def _piece_counts(path: str):
                         into[piece] += n
                 counts.clear()
 
-        for part in parts:
+        for part in _slices(parts):
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").cast(pa.binary()), strict=True):
                 words.setdefault(lang, Counter()).update(letter_words(text.as_py() or b""))
             if sum(map(len, words.values())) > _KEPT_WORDS:
@@ -231,21 +233,26 @@ class Scorer:
         return np.array([scores[d].sum(axis=0) for d in docs]).reshape(len(texts), len(self.languages))
 
 
+def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        for at in range(0, part.num_rows, _ROWS):
+            yield part.slice(at, _ROWS)
+
+
 def _identify(held: Broadcast):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         scorer = Scorer(model) if model.languages else None
-        for part in parts:
+        for part in _slices(parts):
             texts = part.column("text").to_pylist()
             lettered = [has_letter(t) and scorer is not None for t in texts]
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             at = [i for i, yes in enumerate(lettered) if yes]
-            for k in range(0, len(at), 1000):
-                group = at[k : k + 1000]
-                logs = scorer.texts([texts[i].encode() for i in group])
+            if at:
+                logs = scorer.texts([texts[i].encode() for i in at])
                 best = logs.argmax(axis=1)
                 share = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-                for i, b, s in zip(group, best.tolist(), share.tolist(), strict=True):
+                for i, b, s in zip(at, best.tolist(), share.tolist(), strict=True):
                     names[i], scores[i] = model.languages[b], s
             kept = [c for c in part.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
@@ -275,10 +282,15 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
 
 def _accept(held: Broadcast, column: str, least: float):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = _identify(held)
-        for part in parts:
-            texts = pa.RecordBatch.from_arrays([part.column(column)], names=["text"])
-            found = next(judge(iter([texts])))
+        waiting: list[pa.RecordBatch] = []
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for part in _slices(parts):
+                waiting.append(part)
+                yield pa.RecordBatch.from_arrays([part.column(column)], names=["text"])
+
+        for found in _identify(held)(texts()):
+            part = waiting.pop(0)
             names, scores = found.column("lang_pred").to_pylist(), found.column("score").to_pylist()
             kept = [n != UNDETERMINED and s >= least for n, s in zip(names, scores, strict=True)]
             yield part.filter(pa.array(kept, pa.bool_()))
