@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import pairwise
 from zlib import crc32
 
@@ -130,19 +130,26 @@ def _best(bins: list[_Class], need: np.ndarray, weights: np.ndarray, choose: str
 
 @lru_cache(maxsize=1)
 def encoder(path: str = TOKENIZER) -> tiktoken.Encoding:
-    """The byte-level vocabulary of the tokenizer file, its special tokens left out.
+    """The byte-level vocabulary of the tokenizer file, and its added tokens as special ones.
 
     The file's tokens are written in the printable stand-ins for bytes that such files
     use. Merges of this kind of file are in the order of their numbers, which is what a
     rank table needs; a test compares the numbers with those of the tokenizers library.
+    An added token stands for its literal text wherever that occurs; ones that also take
+    blanks beside it, or only whole words, are refused.
     """
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        content = json.load(file)
+    added = content.get("added_tokens") or []
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or (t["normalized"] and content["normalizer"]) for t in added):
+        raise ValueError("only added tokens that are plain text are handled")
+    special = {t["content"]: t["id"] for t in added}
+    vocabulary = content["model"]["vocab"]
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(printable)]
     byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-    ranks = {bytes(byte[c] for c in token): n for token, n in vocabulary.items() if not token.startswith("<|")}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(byte[c] for c in token): n for token, n in vocabulary.items() if token not in special}
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 _FIELDS = {
@@ -160,7 +167,7 @@ _ROWS = 5000
 
 def _cut(path: str, sequence: int, end: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = partial(encoder(path).encode, allowed_special="all")
         task = TaskContext.get().partitionId()
         seen = np.zeros(sequence + 1, dtype=np.int64)
         for part in parts:
@@ -199,7 +206,8 @@ def pack(
     """``key, piece, start, length, ids, ids_crc32, sequence_id, offset`` for each piece of each document.
 
     ``ids`` holds the piece's token numbers as little-endian unsigned 32-bit numbers, and
-    ``ids_crc32`` their checksum; a document's are those of its whole text, then ``end``. Only a document longer than a
+    ``ids_crc32`` their checksum; a document's are those of its whole text, as the tokenizers library
+    gives them without a template's tokens, then ``end``: the literal of an added token is that token. Only a document longer than a
     sequence is cut: into full pieces, but for the first, which has what is left over. A
     null text is an empty one, so every row gives a piece; a null key is carried as null;
     an empty table gives no row. Sequences are numbered from 0, their pieces follow each

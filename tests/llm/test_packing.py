@@ -28,6 +28,17 @@ def test_tokens_are_those_of_the_tokenizers_library(spark, tokenizer):
     assert [encoder().encode_ordinary(t) for t in texts] == expected
 
 
+def test_added_tokens_in_texts_are_those_of_the_library_as_it_comes(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(4)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "end", "next", "é", "'s", "7"]
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "<|endoftext|><|endoftext|> "]
+    texts += ["".join(rng.choice(parts) for _ in range(40)) for _ in range(300)]
+    docs = list(enumerate(texts))
+    assert library.encode(texts[0], add_special_tokens=False).ids == [437, 220, 50256, 1306]
+    check(pack(documents(spark, docs).repartition(3)).collect(), docs, library, Capacities())
+
+
 def check(rows, docs, tokenizer, limits):
     """Whole documents, gapless sequences, all limits kept."""
     pieces, sequences = {}, {}
