@@ -47,21 +47,25 @@ def words(text: Column) -> Column:
     )
 
 
-def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
+def windows(
+    benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW, nameless: bool = False
+) -> DataFrame:
     """Distinct windows of the benchmark with the items they come from: ``window, items``.
 
     An item of fewer words is one window; one without words has none. Items without a
-    key have no name to report and are left out.
+    key are left out, or with ``nameless`` stand as one null at the end of the items.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
+    named = F.sort_array(F.collect_set("item"))
+    unnamed = F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array())
     return (
-        benchmark.where(F.col(key).isNotNull())
+        benchmark.where(F.col(key).isNotNull() | F.lit(nameless))
         .select(F.col(key).cast("string").alias("item"), words(F.col(text)).alias("w"))
         .where(F.size("w") > 0)
         .select("item", "w", F.explode(starts).alias("start"))
         .select("item", F.slice("w", F.col("start"), F.lit(size)).alias("window"))
         .groupBy("window")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
+        .agg(F.concat(named, unnamed).alias("items"))
     )
 
 
@@ -134,9 +138,8 @@ def _scan(held: Broadcast, column: str, hits: str, first: bool):
                     edges[start + length] -= 1
                     items.update(of)
                 covered = np.concatenate(([0], (np.cumsum(edges) > 0).astype(np.int8)))
-                rows.append(
-                    {"n_words": len(found), "spans": np.flatnonzero(np.diff(covered)).tolist(), "items": sorted(items)}
-                )
+                names = sorted(items - {None}) + [None] * (None in items)
+                rows.append({"n_words": len(found), "spans": np.flatnonzero(np.diff(covered)).tolist(), "items": names})
             kept = [name for name in part.schema.names if first or name != hits]
             fields = [part.schema.field(name) for name in kept]
             yield pa.RecordBatch.from_arrays(
@@ -161,17 +164,19 @@ def find_hits(
     size: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
     hits: str = "hits",
+    nameless: bool = False,
 ) -> DataFrame:
     """The documents with a struct ``hits`` of ``n_words, spans, items`` added.
 
     ``spans`` holds start and stop, in words, of each hit stretch, one after the other;
-    ``items`` the sorted items with a window in the document. Null and empty texts have
-    no words and no hit; an empty table gives no row. Every benchmark window is used,
-    ``block_windows`` of them at a time. ``hits`` must be a new name.
+    ``items`` the sorted items with a window in the document; with ``nameless``, windows of
+    items without a key hit too, and all such items are one null at its end. Null and empty
+    texts have no words and no hit; an empty table gives no row. Every benchmark window is
+    used, ``block_windows`` of them at a time. ``hits`` must be a new name.
     """
     if hits in docs.columns:
         raise ValueError(f"{hits} is a column of the documents; name another for the hits")
-    grams = settled(windows(benchmark, item, item_text, size))
+    grams = settled(windows(benchmark, item, item_text, size, nameless))
     blocks = max(1, -(-grams.count() // block_windows))
     part = F.pmod(F.xxhash64("window"), F.lit(blocks))
     schema = T.StructType([*docs.schema.fields, T.StructField(hits, _HITS)])
@@ -223,11 +228,12 @@ def decontaminate(
     ``remove="documents"`` drops each document with a hit word; ``remove="spans"`` keeps
     them all and cuts the hit stretches out of their text, from the first hit word's
     first letter to the last one's last. Clean documents and null texts stay as they are.
+    A passage counts whether or not its item has a key.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     hits = unused(docs, "hits")
-    marked = find_hits(docs, benchmark, text, hits=hits, **options)
+    marked = find_hits(docs, benchmark, text, hits=hits, nameless=True, **options)
     if remove == "documents":
         return marked.where(F.size(F.col(hits)["spans"]) == 0).select(*docs.columns)
     return marked.mapInArrow(_cut(text, hits), marked.schema).select(*docs.columns)
@@ -237,6 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """One row per document, repeated rows too: ``key, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     The digest is that of the sorted items, comma-joined; no item gives that of the empty text.
+    With ``nameless``, items without a key count as one item, which the digest leaves out.
     """
     found = find_hits(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), benchmark, **options)
     return found.select(

@@ -26,7 +26,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), nameless=True)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 
 from shelfwise.llm.decontaminate import contamination, decontaminate
+from shelfwise.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.helpers import bag, documents, odd_documents, with_clashes
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -84,6 +86,30 @@ def test_documents_and_spans_are_removed(spark):
         decontaminate(docs, items(spark), remove="words")
 
 
+NAMELESS = [*ITEMS, (None, "clean text with nothing in it"), (None, "solo"), (None, None)]
+
+
+def test_items_without_a_key_hit_as_in_the_sql(spark, tmp_path):
+    documents(spark, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    items(spark, NAMELESS).write.parquet(str(tmp_path / "benchmark.parquet"))
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    got = QUERIES["op2_decontaminate"](spark, str(tmp_path))
+    expected = connection.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['op2_decontaminate']})").fetchall()
+    assert bag(got) == sorted(map(tuple, expected), key=repr)
+    assert bag(contamination(documents(spark, DOCS), items(spark, NAMELESS), nameless=True, block_windows=2)) == bag(got)
+
+
+def test_passages_of_items_without_a_key_are_removed(spark):
+    docs = documents(spark, DOCS)
+    dirty = {key for key, *_, bad in brute(DOCS, [(9, text) for _, text in NAMELESS]) if bad}
+    assert 5 in dirty
+    assert {r["doc_id"] for r in decontaminate(docs, items(spark, NAMELESS)).collect()} == {key for key, _ in DOCS} - dirty
+    cut = {r["doc_id"]: r["text"] for r in decontaminate(docs, items(spark, NAMELESS), remove="spans").collect()}
+    assert cut[5] == "" and cut[7] == ""
+
+
 def test_empty_tables(spark):
     assert contamination(documents(spark, []), items(spark)).count() == 0
     got = contamination(documents(spark, DOCS), items(spark, []))
