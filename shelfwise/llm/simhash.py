@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise.llm.common import ASCII_LOWER, settled, utf8
+from shelfwise.llm.common import ASCII_LOWER, settled, unused, utf8
 from shelfwise.llm.components import components
 
 SHINGLE = 3
@@ -75,6 +76,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     )
 
 
+def _with_fingerprint(column: str, name: str, shingle: int, seed: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            values = np.array([fingerprint(t, shingle, seed) for t in utf8(part.column(column))], dtype=np.uint64)
+            yield part.append_column(name, pa.array(values.view(np.int64)))
+
+    return run
+
+
 def _cell(segments: int) -> Column:
     """The population counts of the segments, seven bits each, as one number."""
     bounds = [64 * k // segments for k in range(segments + 1)]
@@ -169,6 +179,15 @@ def links(distinct: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, t
     return pairs.select("packed", "other", same.alias("same")).mapInArrow(_forest(radius), "a bigint, b bigint")
 
 
+def _linked(
+    docs: DataFrame, key: str, text: str, shingle: int, radius: int, seed: int, segments: int, tile: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``key, fingerprint`` of all rows, ``fingerprint, first`` of all fingerprints, ``node, component`` of those with a link."""
+    marked = settled(fingerprints(docs, key, text, shingle, seed))
+    distinct = settled(marked.groupBy("fingerprint").agg(F.min("key").alias("first")))
+    return marked, distinct, components(links(distinct.select("fingerprint"), radius, segments, tile))
+
+
 def near_copies(
     docs: DataFrame,
     key: str = "doc_id",
@@ -187,9 +206,7 @@ def near_copies(
     give repeated rows. A null key names a component only if no other key is in it.
     An empty table gives no row.
     """
-    marked = settled(fingerprints(docs, key, text, shingle, seed))
-    distinct = settled(marked.groupBy("fingerprint").agg(F.min("key").alias("first")))
-    member = components(links(distinct.select("fingerprint"), radius, segments, tile))
+    marked, distinct, member = _linked(docs, key, text, shingle, radius, seed, segments, tile)
     # Only fingerprints with a link to another have a row here.
     joined = distinct.join(member.withColumnRenamed("node", "fingerprint"), "fingerprint")
     named = settled(joined.groupBy("component").agg(F.min("first").alias("name")))
@@ -208,16 +225,52 @@ def near_copies(
     )
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that name their component, columns unchanged; one row where rows share that key.
+def drop_near_copies(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    seed: int = SEED,
+    segments: int = SEGMENTS,
+    tile: int = TILE,
+) -> DataFrame:
+    """One document of each component, columns unchanged: that of the smallest key, a null one last.
 
-    Documents without a key are kept: nothing names them.
+    Of rows that share that key, the one of the smallest fingerprint as a signed number
+    stays, then the one of the smallest SHA-256 of the row as JSON. Rows that share a key
+    but are in different components each count for their own.
     """
-    names = (
-        near_copies(docs, key, text, **options)
-        .where(F.col(key) == F.col("component_id"))
-        .select(F.col(key))
-        .distinct()
+    marked, distinct, member = _linked(docs, key, text, shingle, radius, seed, segments, tile)
+    component = F.coalesce("component", "fingerprint")
+    least = F.min(F.struct(F.col("first").isNull(), "first", "fingerprint")).alias("least")
+    chosen = settled(
+        distinct.join(member.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+        .groupBy(component.alias("component"))
+        .agg(least)
+        .select(F.col("least.first").alias("key"), F.col("least.fingerprint").alias("fingerprint"))
+    )
+    # A key of one row needs no fingerprint to find the row again.
+    counted = marked.select("key", F.lit(1).alias("n"), F.lit(False).alias("chosen"))
+    counted = counted.unionByName(chosen.select("key", F.lit(0).alias("n"), F.lit(True).alias("chosen")))
+    by_key = counted.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n"), F.max("chosen").alias("chosen"))
+    names = settled(by_key.where("chosen").select(F.col("key").alias(key), (F.col("n") > 1).alias("shared")))
+    keyed = docs.where(F.col(key).isNotNull())
+    alone = keyed.join(names.where("NOT shared").select(key), key, "left_semi").select(*docs.columns)
+    rest = docs.where(F.col(key).isNull())
+    repeated = names.where("shared").select(key)
+    if not repeated.isEmpty():
+        rest = rest.unionByName(keyed.join(repeated, key, "left_semi").select(*docs.columns))
+    marks = unused(docs, "fingerprint")
+    row = F.struct(*docs.columns)
+    one = (
+        rest.mapInArrow(
+            _with_fingerprint(text, marks, shingle, seed), T.StructType([*docs.schema.fields, T.StructField(marks, T.LongType())])
+        )
+        # One row of each key and fingerprint in a task goes through the shuffle.
+        .groupBy(F.col(key).alias("key"), F.col(marks).alias("fingerprint"))
+        .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row"))
     )
-    kept = docs.where(F.col(key).isNotNull()).join(names, key, "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)
+    wanted = chosen.select(F.col("key").alias("k"), F.col("fingerprint").alias("f"))
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("fingerprint") == F.col("f"))
+    return alone.unionByName(one.join(wanted, same, "left_semi").select("row.*"))

@@ -75,6 +75,40 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_each_component_keeps_a_row_whatever_the_keys(spark, turn):
+    rows = [
+        (3, "alpha beta gamma"),
+        (5, "Alpha  beta gamma"),  # of the component that 3 names
+        (5, "some quite different words"),  # two components that 5 names
+        (5, "another text that is like none of them"),
+        (5, "another  text that is like none of them"),
+        (6, "some quite different  words"),
+        (None, "no key and no copy"),
+        (None, "no key and  no copy"),
+        (None, "alpha beta  gamma"),
+        (None, None),
+        (7, "a key of its own"),
+        (7, "a key of its own"),
+    ]
+    docs = with_clashes(documents(spark, rows[::turn]).repartition(3), "fingerprint", "key", "shared")
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], " ".join((r["text"] or "").split())) for r in kept.collect()]
+    assert sorted(found, key=repr) == sorted(
+        [
+            (3, "alpha beta gamma"),
+            (5, "some quite different words"),
+            (5, "another text that is like none of them"),
+            (None, "no key and no copy"),
+            (None, ""),
+            (7, "a key of its own"),
+        ],
+        key=repr,
+    )
+    assert bag(kept) == bag(drop_near_copies(docs.orderBy("n_chars", "text")))
+
+
 def test_empty_table(spark):
     assert near_copies(documents(spark, [])).count() == 0
     assert drop_near_copies(documents(spark, [])).count() == 0
