@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 
+from corpus_pipeline import language_id
 from shelfwise.llm.common import bucket, read
 from shelfwise.llm.language import Scorer, identify, keep_identified, letter_words, train_language
 from tests.llm.helpers import by_key, documents, odd_documents, with_clashes
@@ -77,6 +78,17 @@ def test_empty_tables(spark, model):
     assert keep_identified(documents(spark, ["some text"]), none).count() == 0
 
 
+def test_the_stage_keeps_texts_in_close_languages(spark):
+    # Three languages that look the same: the best has a third of the sum.
+    rows = [(i, "the same words", ("a", "b", "c")[i // 40]) for i in range(120)]
+    rows += [(200, "12 34", "a"), (201, None, "a"), (202, "the", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = train_language(docs.where(bucket("doc_id", 4) != 2).select("text", "lang"))
+    assert max(r["score"] for r in identify(docs, model).collect()) < 0.5
+    kept = {r["doc_id"] for r in language_id(spark, docs, "").collect()}
+    assert kept == {*range(120), 202}
+
+
 def test_held_out_accuracy(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     held_out = bucket("doc_id", 4) == 2
