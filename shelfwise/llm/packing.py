@@ -57,6 +57,10 @@ class Capacities:
         return np.where(limited, self.weights, 0.0) / self.vector().astype(float) ** 2
 
 
+#: The limits that tokens alone set on documents and attention, so that they have weight but force no sequence more.
+VECTOR = Capacities(documents=SEQUENCE, attention=SEQUENCE**2)
+
+
 @dataclass(eq=False)
 class _Class:
     """Bins in one state: ``count`` of them from number ``first``, with what is free and filled."""

@@ -14,7 +14,7 @@ from shelfwise.llm.exact_dedup import exact_copies
 from shelfwise.llm.language import identify, train_language
 from shelfwise.llm.language_model import score_language_model
 from shelfwise.llm.line_dedup import dedup_lines
-from shelfwise.llm.packing import pack
+from shelfwise.llm.packing import VECTOR, pack
 from shelfwise.llm.quality import THRESHOLD, score_quality
 from shelfwise.llm.simhash import near_copies
 from shelfwise.llm.warc import read_warc, write_warc
@@ -30,7 +30,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents")).drop("ids")
+    return pack(read(spark, sf_dir, "documents"), capacities=VECTOR).drop("ids")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

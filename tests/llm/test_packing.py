@@ -1,13 +1,16 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from corpus_pipeline import best_fit_packing
 from shelfwise.llm.common import read
-from shelfwise.llm.packing import Capacities, encoder, needs, pack, plan_bins
+from shelfwise.llm.packing import VECTOR, Capacities, encoder, needs, pack, plan_bins
+from shelfwise.llm.queries import QUERIES
 from tests.llm.helpers import documents, odd_documents, with_clashes
 
 
@@ -120,6 +123,19 @@ def test_plan_keeps_every_limit_and_places_every_piece(limits):
         assert (sum(needs(n) for _, n in held) <= limits.vector()).all()
 
 
+def test_registered_queries_choose_by_all_capacities(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    for rows in (QUERIES["op3_best_fit_packing"](spark, sf_dir), best_fit_packing(spark, read(spark, sf_dir, "documents"), sf_dir)):
+        held = {}
+        for r in rows.select("sequence_id", "offset", "length").collect():
+            held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        lengths = Counter(n for pieces in held.values() for _, n in pieces)
+        by_vector, by_tokens = brute_bins(plan_bins(lengths, VECTOR)), brute_bins(plan_bins(lengths))
+        plain = lambda bins: {b: sorted(pieces) for b, pieces in bins.items()}
+        assert plain(held) == plain(by_vector) != plain(by_tokens)
+        assert len(by_vector) == len(by_tokens)
+
+
 def least_bins(lengths, size=1024):
     """A lower bound: pieces over half a bin need one each, and only some others fit beside them."""
     best = 0
