@@ -1,7 +1,7 @@
 """WARC archives as a Spark data source: deterministic shards, written and read by tasks.
 
-Rows are put into shards by ranges of the page id and sorted in them. The ranges come from
-a sample chosen by hash, so the same pages give the same shards and the same bytes. A task
+Rows are put into shards by ranges of the page id, then of a hash of the payload, and sorted
+in them. The ranges come from a sample chosen by hash, so the same pages give the same shards and the same bytes. A task
 writes its shard as gzip members, one a record, and starts a new file once the compressed
 size passes the limit. Files are written under temporary names that no other attempt has;
 the driver renames the files of the attempts that Spark committed, and writes the manifest
@@ -15,6 +15,7 @@ import hashlib
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
@@ -39,7 +40,7 @@ from pyspark.sql.types import StructType
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
 ROLL_BYTES = 8 << 20
-# Page ids looked at for the ranges of the shards; every page is written.
+# Page ids and payloads looked at for the ranges of the shards; every page is written.
 RANGE_SAMPLE = 50_000
 
 # Fixed values of the archive format.
@@ -148,10 +149,10 @@ class WarcWriter(DataSourceArrowWriter):
         files = _Rolling(self.path, self.roll)
         at, responses, seen = object(), {}, {}
         for batch in iterator:
-            columns = [batch.column(n).to_pylist() for n in ("shard", "page_id", "tells", "digest", "refers_to", "url", "html")]
-            for shard, page_id, tells, digest, refers_to, url, html in zip(*columns, strict=True):
-                if page_id != at:
-                    at, responses, seen = page_id, {}, {}
+            columns = [batch.column(n).to_pylist() for n in ("shard", "page_id", "part", "tells", "digest", "refers_to", "url", "html")]
+            for shard, page_id, part, tells, digest, refers_to, url, html in zip(*columns, strict=True):
+                if (page_id, part) != at:
+                    at, responses, seen = (page_id, part), {}, {}
                 if tells:
                     responses[digest] = refers_to
                     continue
@@ -290,31 +291,39 @@ class WarcSource(DataSource):
         return WarcWriter(self.options["path"], int(self.options.get("roll_bytes", ROLL_BYTES)))
 
 
-def _ranges(pages: DataFrame, shard_bytes: int) -> np.ndarray:
-    """First page ids of the shards after the first, from pages that a hash of their id picks."""
+def _ranges(pages: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """First page id and payload hash of the shards after the first, from distinct ones that a hash picks."""
     size = F.coalesce(F.octet_length("html"), F.lit(0)) + 500
     rows, total = pages.agg(F.count(F.lit(1)), F.sum(size)).first()
     shards = max(1, -(-(total or 0) // shard_bytes))
     every = max(1, rows // RANGE_SAMPLE)
-    picked = pages.where((F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0) & F.col("page_id").isNotNull())
-    ids = np.sort(np.array([r[0] for r in picked.select("page_id").collect()], dtype=np.int64))
-    return np.unique(ids[[len(ids) * k // shards for k in range(1, shards)]]) if len(ids) else ids
+    keys = pages.select(F.coalesce("page_id", F.lit(_LEAST)).alias("page_id"), "part")
+    picked = keys.where(F.pmod(F.xxhash64("page_id", "part"), F.lit(every)) == 0).distinct()
+    found = sorted((r["page_id"], r["part"]) for r in picked.collect())
+    return sorted({found[len(found) * k // shards] for k in range(1, shards)}) if found else []
 
 
 def sorted_records(pages: DataFrame, shard_bytes: int, revisit_bytes: int) -> DataFrame:
-    """The pages in shards, sorted by id; before a page whose payload has copies a row tells the response.
+    """The pages in shards, sorted by id and a hash of the payload; before pages whose payload has copies a row tells the response.
 
-    Only ids and digests are grouped. The pages themselves are shuffled once.
+    Only ids and digests are grouped. The pages themselves are shuffled once. Many pages
+    of one id, or without one, are dealt to shards by their payloads.
     """
+    pages = pages.withColumn("part", F.xxhash64(F.coalesce("html", F.lit(""))))
     cuts = _ranges(pages, shard_bytes)
+    first = np.array([page_id for page_id, _ in cuts], dtype=np.int64)
 
     @F.pandas_udf("int")
-    def shard(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.to_numpy(dtype=np.int64), side="right").astype(np.int32))
+    def shard(ids: pd.Series, parts: pd.Series) -> pd.Series:
+        ids = ids.to_numpy(dtype=np.int64)
+        out = np.searchsorted(first, ids, side="left").astype(np.int32)
+        for i in np.flatnonzero(np.searchsorted(first, ids, side="right") > out).tolist():
+            out[i] = bisect_right(cuts, (int(ids[i]), int(parts.iloc[i])))
+        return pd.Series(out)
 
     size = F.octet_length("html")
     digests = pages.where(size >= revisit_bytes).select(
-        "page_id", F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")
+        "page_id", "part", F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")
     )
     groups = (
         digests.groupBy("digest")
@@ -323,16 +332,16 @@ def sorted_records(pages: DataFrame, shard_bytes: int, revisit_bytes: int) -> Da
         .drop("n")
     )
     tells = digests.join(groups, "digest").select(
-        "page_id", F.lit(True).alias("tells"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")
+        "page_id", "part", F.lit(True).alias("tells"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")
     )
     rows = pages.select(
-        "page_id", F.lit(False).alias("tells"), F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("bigint").alias("refers_to"), "url", "html"
+        "page_id", "part", F.lit(False).alias("tells"), F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("bigint").alias("refers_to"), "url", "html"
     )
     return (
         tells.unionByName(rows)
-        .withColumn("shard", shard(F.coalesce("page_id", F.lit(_LEAST))))
+        .withColumn("shard", shard(F.coalesce("page_id", F.lit(_LEAST)), "part"))
         .repartitionById(len(cuts) + 1, F.col("shard"))
-        .sortWithinPartitions("shard", "page_id", F.col("tells").desc(), F.xxhash64("url", "html"))
+        .sortWithinPartitions("shard", "page_id", "part", F.col("tells").desc(), F.xxhash64("url", "html"))
     )
 
 

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from shelfwise.llm.warc import MANIFEST, members, parse, read_warc, write_warc
+from shelfwise.llm.warc import MANIFEST, members, parse, read_warc, sorted_records, write_warc
 from tests.llm.helpers import bag, with_clashes
 
 BIG, OTHER = "<p>ä</p>" * 200, "<b>x</b>" * 300
@@ -79,6 +79,17 @@ def test_same_pages_give_the_same_bytes(spark, tmp_path):
     assert sorted(ids) == list(range(400))
 
 
+def test_pages_of_one_id_go_to_many_shards(spark, tmp_path):
+    hot = [(key, f"http://a.example/{i % 9}", f"<p>{i % 60}</p>" * 150) for key in (None, 50) for i in range(200)]
+    rows = hot + [(i, f"http://a.example/{i}", f"<i>{i}</i>" * 90) for i in range(200)]
+    shards = sorted_records(pages(spark, rows).repartition(4), 20_000, 1000).where("NOT tells").groupBy("shard", "page_id").count().collect()
+    for key in (None, 50):
+        mine = [r["count"] for r in shards if r["page_id"] == key]
+        assert sum(mine) >= 200 and max(mine) < 60
+    write_warc(pages(spark, rows).repartition(4), str(tmp_path / "warc"), shard_bytes=20_000, roll_bytes=3000)
+    assert found(spark, str(tmp_path / "warc")) == brute(rows)
+
+
 def test_only_committed_files_are_read(spark, tmp_path):
     path = tmp_path / "warc"
     write_warc(pages(spark), str(path))
