@@ -17,6 +17,7 @@ from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.packing import VECTOR, pack
 from shelfwise.llm.quality import THRESHOLD, score_quality
 from shelfwise.llm.simhash import near_copies
+from shelfwise.llm.url_filter import ALLOW, BLOCK, filter_urls
 from shelfwise.llm.warc import read_warc, write_warc
 from shelfwise.session import shared_dir
 
@@ -78,6 +79,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The stated rules: host, path, verdict.
+URL_RULES = (
+    ("net", "/", BLOCK),
+    ("example.net", "/en/", ALLOW),
+    ("example.com", "/de/", BLOCK),
+    ("org", "/fr/", ALLOW),
+)
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -91,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_lm_score,
         op10_quality,
+        op12_url_filters,
     )
 }
 
@@ -133,4 +150,23 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op6_exact_dedup": _OP6}
+_OP12 = r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), rests AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), numbered AS (
+    SELECT row_number() OVER () AS n, page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rests
+), ranked AS (
+    SELECT numbered.*, rule_host || rule_path AS rule, rule_verdict,
+           row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS place
+    FROM numbered LEFT JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE place = 1
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op6_exact_dedup": _OP6, "op12_url_filters": _OP12}
