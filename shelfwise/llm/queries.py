@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.chat import format_chats
+from shelfwise.llm.collocations import collocations
 from shelfwise.llm.common import bucket, read
 from shelfwise.llm.decontaminate import contamination
 from shelfwise.llm.exact_dedup import exact_copies
@@ -94,6 +95,10 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents")).withColumnRenamed("grp", "lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_score,
         op10_quality,
         op12_url_filters,
+        op13_collocations,
     )
 }
 
@@ -169,4 +175,44 @@ WITH rules(rule_host, rule_path, rule_verdict) AS (
 SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM ranked WHERE place = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_decontaminate": _OP2, "op6_exact_dedup": _OP6, "op12_url_filters": _OP12}
+_OP13 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, w[i : i + size - 1] AS gram, count(*) AS f
+    FROM words, unnest([1, 2, 3, 4]) AS z(size), unnest(range(1, len(w) - size + 2)) AS s(i)
+    GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE len(gram) = 1 GROUP BY lang
+), often AS MATERIALIZED (
+    SELECT * FROM grams WHERE f >= 30
+), cuts AS (
+    SELECT c.lang, c.gram, c.f AS a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+    FROM often c, unnest(range(1, len(c.gram))) AS s(k)
+    JOIN often x ON x.lang = c.lang AND x.gram = c.gram[1 : k]
+    JOIN often y ON y.lang = c.lang AND y.gram = c.gram[k + 1 :]
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1
+), covers AS (
+    SELECT lang, gram[i : i + size - 1] AS gram, max(f) AS longer
+    FROM often, unnest([2, 3]) AS z(size), unnest(range(1, len(gram) - size + 2)) AS s(i)
+    WHERE size < len(gram) GROUP BY ALL
+), kept AS (
+    SELECT scored.*, array_to_string(gram, ' ') AS phrase
+    FROM scored LEFT JOIN covers USING (lang, gram) WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": _OP2,
+    "op6_exact_dedup": _OP6,
+    "op12_url_filters": _OP12,
+    "op13_collocations": _OP13,
+}
