@@ -82,7 +82,8 @@ def _frequent_cells(texts: DataFrame, bits: int, least: int) -> Broadcast:
     counts = texts.mapInArrow(_pair_counts(bits), "cell int, n int")
     enough = counts.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("cell").bitwiseAND(63))
-    packed = enough.groupBy(F.shiftright("cell", 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bits_by_place = enough.groupBy(F.shiftright("cell", 6).alias("place")).agg(F.bit_or(one).alias("bits"))
+    packed = written(bits_by_place, "pairs").toArrow()
     held = np.zeros(1 << (bits - 6), np.int64)
     held[packed["place"].to_numpy()] = packed["bits"].to_numpy()
     return texts.sparkSession.sparkContext.broadcast(held)
@@ -144,11 +145,13 @@ def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", long
     counted = written(found.groupBy("grp", *names).agg(F.sum("n").alias("n")), "windows")
 
     rolled = counted.rollup("grp", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
-    # Nulls of columns that are summed over stand for no word, all others are padding.
+    # Nulls of columns that are summed over stand for no word, all others are padding. What is asked
+    # here of the grouping columns alone, in a condition of its own, Spark asks before it sums and shuffles.
     level = F.lit(longest) - F.bit_count("left_out")
+    last_word = F.coalesce(*[F.when(level == i, F.col(name)) for i, name in enumerate(names, 1)])
+    whole = rolled.where((level == 0) | last_word.isNotNull()).where(F.col("f") >= F.when(level > 0, least).otherwise(0))
     words = F.slice(F.array(*names), F.lit(1), level)
-    whole = (level == 0) | ((F.col("f") >= least) & F.get(F.array(*names), level - 1).isNotNull())
-    return rolled.where((level >= 0) & whole).select("grp", F.when(level > 0, words).otherwise(F.array().cast("array<string>")).alias("words"), "f")
+    return whole.select("grp", F.when(level > 0, words).otherwise(F.array().cast("array<string>")).alias("words"), "f")
 
 
 def _phrase(words: Column) -> Column:
