@@ -6,10 +6,10 @@ words, which gives the count of every shorter phrase without cutting the texts i
 windows again, since each occurrence of a phrase is the beginning of one window.
 
 Nearly all windows of a large text are distinct, and a phrase is asked for only from so many
-occurrences on. So the pairs of neighbours are counted first in cells of a hash. A pair in a
-cell with too few is in no such phrase, and a window ends before its second word, padded as at
-the end of a piece. This leaves every count that is asked for as it is; cells that share a hash
-keep more windows, never fewer.
+occurrences on. So pairs of neighbours, and then what longer phrases these leave possible, are
+counted first in cells of a hash. A phrase in a cell with too few is within no such phrase, and a
+window ends before its last word, padded as at the end of a piece. This leaves every count that is
+asked for as it is; phrases that share a cell keep more windows, never fewer.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from shelfwise.llm.bulk_words import LOWERED, Slice, Texts, Words
 from shelfwise.llm.common import written
 
 LONGEST, LEAST, KEEP, COVER = 4, 30, 2000, 80
-# Bytes of text for each cell of the pair counts, and bounds on the cells: a bit of each is sent to all tasks.
+# Bytes of text for each cell, and bounds on the cells of a size: a bit of each is sent to all tasks.
 CELL_BYTES = 48
 MIN_CELL_BITS, MAX_CELL_BITS = 16, 28
 
@@ -55,38 +55,78 @@ def _cut(part: Slice) -> tuple[Words, np.ndarray, np.ndarray]:
     return words, rows, followed
 
 
-def _cells(words: Words, pairs: np.ndarray, group: np.ndarray, groups: pa.Array, bits: int) -> np.ndarray:
-    """The cell of each word of ``pairs`` and the word after it."""
-    hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words.distinct.to_pylist()], np.uint64)
-    of_group = np.array([xxhash.xxh3_64_intdigest(g.encode()) for g in groups.to_pylist()], np.uint64)
-    mixed = hashed[words.codes[pairs]] * np.uint64(0x9E3779B97F4A7C15) + hashed[words.codes[pairs + 1]]
-    mixed = (mixed ^ of_group[group[pairs]]) * np.uint64(0xD6E8FEB86659FD93)
-    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - bits)
+class _Cells:
+    """The words of a slice, and the cells of the phrases that begin at them."""
 
+    def __init__(self, part: Slice, of_row: np.ndarray, groups: pa.Array, bits: int):
+        self.words, rows, self.followed = _cut(part)
+        self.group, self._bits = of_row[rows], np.uint64(64 - bits)
+        hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words.distinct.to_pylist()], np.uint64)
+        of_group = np.array([xxhash.xxh3_64_intdigest(g.encode()) for g in groups.to_pylist()], np.uint64)
+        self._hashed, self._of_group = hashed[self.words.codes], of_group[self.group]
+
+    def of(self, starts: np.ndarray, size: int) -> np.ndarray:
+        """The cell of the ``size`` words from each of ``starts`` on, all in one piece."""
+        mixed = self._hashed[starts]
+        for ahead in range(1, size):
+            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + self._hashed[starts + ahead]
+        mixed = (mixed ^ self._of_group[starts]) * np.uint64(0xD6E8FEB86659FD93)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return (mixed >> self._bits).astype(np.int64)
+
+    def sizes(self, frequent: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """Whether a phrase of 2, 3 and more words begins at each word whose cells, one by one, have enough.
+
+        A phrase is asked for its own cell only if the two a word shorter have enough; the last size is
+        one more than there are cells for.
+        """
+        enough = self.followed
+        for size, held in enumerate(frequent, 2):
+            starts = np.flatnonzero(enough)
+            cells = self.of(starts, size)
+            enough = np.zeros(len(enough), bool)
+            enough[starts] = (held[cells >> 6] >> (cells & 63)) & 1 == 1
+            yield enough
+            enough = enough & np.append(enough[1:], False)
+        yield enough
+
+
+def _slices(batch: pa.RecordBatch, bits: int) -> Iterator[tuple[_Cells, pa.Array]]:
+    of_row, groups = _groups(batch)
+    for part in Texts.of(batch.column(0)).slices(_KIND == _BREAK):
+        yield _Cells(part, of_row, groups, bits), groups
+
+
+def _cell_counts(bits: int, frequent: list[Broadcast]):
+    """Counts of the phrases that are a word longer than those of the last cells."""
 
-def _pair_counts(bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [f.value for f in frequent]
         for batch in batches:
-            of_row, groups = _groups(batch)
-            for part in Texts.of(batch.column(0)).slices(_KIND == _BREAK):
-                words, rows, followed = _cut(part)
-                pairs = np.flatnonzero(followed)
-                cells, counts = np.unique(_cells(words, pairs, of_row[rows], groups, bits), return_counts=True)
+            for part, _ in _slices(batch, bits):
+                *_, possible = part.sizes(known)
+                cells, counts = np.unique(part.of(np.flatnonzero(possible), len(known) + 2), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(counts.astype(np.int32))], ["cell", "n"])
 
     return count
 
 
-def _frequent_cells(texts: DataFrame, bits: int, least: int) -> Broadcast:
-    """A bit for each cell with so many pairs; at most 32 MB in all come to the driver and go to the tasks."""
-    counts = texts.mapInArrow(_pair_counts(bits), "cell int, n int")
-    enough = counts.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("cell").bitwiseAND(63))
-    bits_by_place = enough.groupBy(F.shiftright("cell", 6).alias("place")).agg(F.bit_or(one).alias("bits"))
-    packed = written(bits_by_place, "pairs").toArrow()
-    held = np.zeros(1 << (bits - 6), np.int64)
-    held[packed["place"].to_numpy()] = packed["bits"].to_numpy()
-    return texts.sparkSession.sparkContext.broadcast(held)
+def _frequent_cells(texts: DataFrame, bits: int, least: int, longest: int) -> list[Broadcast]:
+    """For phrases of 2 to ``longest - 1`` words, a bit for each cell with so many of them.
+
+    At most 32 MB a size come to the driver and go to the tasks.
+    """
+    frequent: list[Broadcast] = []
+    for _ in range(2, longest):
+        counts = texts.mapInArrow(_cell_counts(bits, list(frequent)), "cell int, n int")
+        enough = counts.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("cell").bitwiseAND(63))
+        bits_by_place = enough.groupBy(F.shiftright("cell", 6).alias("place")).agg(F.bit_or(one).alias("bits"))
+        packed = written(bits_by_place, "cells").toArrow()
+        held = np.zeros(1 << (bits - 6), np.int64)
+        held[packed["place"].to_numpy()] = packed["bits"].to_numpy()
+        frequent.append(texts.sparkSession.sparkContext.broadcast(held))
+    return frequent
 
 
 def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -98,30 +138,20 @@ def _distinct(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, counts
 
 
-def _windows(longest: int, bits: int, frequent: Broadcast):
+def _windows(longest: int, bits: int, frequent: list[Broadcast]):
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = frequent.value
+        known = [f.value for f in frequent]
         for batch in batches:
-            of_row, groups = _groups(batch)
-            for part in Texts.of(batch.column(0)).slices(_KIND == _BREAK):
-                words, rows, followed = _cut(part)
-                group = of_row[rows]
-                pairs = np.flatnonzero(followed)
-                cells = _cells(words, pairs, group, groups, bits).astype(np.int64)
-                enough = (held[cells >> 6] >> (cells & 63)) & 1 == 1
-                going_on = np.zeros(len(rows) + longest, bool)
-                going_on[pairs[enough]] = True
-                columns, ahead = [words.codes], np.ones(len(rows), bool)
-                for step in range(1, longest):
-                    ahead &= going_on[step - 1 : step - 1 + len(rows)]
-                    lead = np.full(len(rows), -1, np.int32)
-                    lead[: len(rows) - step] = words.codes[step:]
-                    columns.append(np.where(ahead, lead, -1))
-                first, counts = _distinct([group, *columns])
-                codes = [pa.array(c[first], mask=c[first] < 0) for c in columns]
-                shown = words.distinct.cast(pa.string())
+            for part, groups in _slices(batch, bits):
+                codes = part.words.codes
+                columns = [codes]
+                for ahead, enough in enumerate(part.sizes(known), 1):
+                    columns.append(np.where(enough, np.append(codes[ahead:], codes[:ahead]), -1))
+                first, counts = _distinct([part.group, *columns])
+                chosen = [pa.array(c[first], mask=c[first] < 0) for c in columns]
+                shown = part.words.distinct.cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [groups.take(pa.array(group[first])), *[shown.take(c) for c in codes], pa.array(counts)],
+                    [groups.take(pa.array(part.group[first])), *[shown.take(c) for c in chosen], pa.array(counts)],
                     ["grp", *[f"w{i}" for i in range(1, longest + 1)], "n"],
                 )
 
@@ -138,7 +168,7 @@ def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", long
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(group).cast("string"), F.lit(nameless)).alias("grp"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max((size // CELL_BYTES).bit_length(), MIN_CELL_BITS), MAX_CELL_BITS)
-    frequent = _frequent_cells(texts, bits, least)
+    frequent = _frequent_cells(texts, bits, least, longest)
     names = [f"w{i}" for i in range(1, longest + 1)]
     schema = ", ".join(["grp string", *[f"{name} string" for name in names], "n bigint"])
     found = texts.mapInArrow(_windows(longest, bits, frequent), schema)
