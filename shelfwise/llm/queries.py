@@ -18,6 +18,7 @@ from shelfwise.llm.line_dedup import dedup_lines
 from shelfwise.llm.packing import VECTOR, pack
 from shelfwise.llm.quality import THRESHOLD, score_quality
 from shelfwise.llm.simhash import near_copies
+from shelfwise.llm.spelling import spelling_variants, word_counts
 from shelfwise.llm.url_filter import ALLOW, BLOCK, filter_urls
 from shelfwise.llm.warc import read_warc, write_warc
 from shelfwise.session import shared_dir
@@ -80,6 +81,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# In one of so many pairs of a document and a word, the word loses a letter.
+SLIP_EVERY = 199
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(read(spark, sf_dir, "documents"), slip_every=SLIP_EVERY))
+
+
 # The stated rules: host, path, verdict.
 URL_RULES = (
     ("net", "/", BLOCK),
@@ -112,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_lm_score,
         op10_quality,
+        op11_spelling_variants,
         op12_url_filters,
         op13_collocations,
     )
@@ -156,6 +166,54 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM digests WINDOW same AS (PARTITION BY text_sha256)
 """
 
+# The checksum goes byte by byte through the usual table of 256 remainders, which is worked out first.
+_OP11 = r"""
+WITH RECURSIVE remainders AS MATERIALIZED (
+    SELECT list(r ORDER BY b) AS t FROM (
+        SELECT b, list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, i : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS r
+        FROM range(256) AS x(b)
+    )
+), runs AS MATERIALIZED (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents
+    ) GROUP BY ALL
+), bytes AS (
+    SELECT run, times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs
+), hashed AS (
+    SELECT run, times, xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i :
+            ((strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)::BIGINT)),
+        lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+    FROM bytes, remainders
+), words AS MATERIALIZED (
+    SELECT word, sum(times)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, times
+        FROM hashed
+    ) WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), cut AS (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS s(i)
+), pairs AS (
+    SELECT x.word, y.word AS near FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+    UNION SELECT x.word, y.word FROM cut x JOIN words y ON x.rest = y.word
+    UNION SELECT y.word, x.word FROM cut x JOIN words y ON x.rest = y.word
+), nearest AS (
+    SELECT pairs.word, count(*) AS n_near, arg_min(near, (-n, near)) AS best, max(n) AS best_n
+    FROM pairs JOIN words ON words.word = near GROUP BY pairs.word
+), forms AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+    FROM words LEFT JOIN nearest USING (word)
+), steps AS (
+    SELECT word, word AS root, 0 AS step FROM forms
+    UNION ALL
+    SELECT steps.word, forms.form, step + 1 FROM steps JOIN forms ON forms.word = steps.root WHERE forms.form IS NOT NULL
+), roots AS (
+    SELECT word, arg_max(root, step) AS root FROM steps GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
 _OP12 = r"""
 WITH rules(rule_host, rule_path, rule_verdict) AS (
     VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
@@ -213,6 +271,7 @@ QUALIFY rank <= 2000
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": _OP2,
     "op6_exact_dedup": _OP6,
+    "op11_spelling_variants": _OP11,
     "op12_url_filters": _OP12,
     "op13_collocations": _OP13,
 }
