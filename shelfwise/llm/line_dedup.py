@@ -49,8 +49,8 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _rarity(docs: DataFrame, text: str) -> Column:
-    """An array by bucket of the rarity class, the logarithm of the count of the bucket's words in quarters of a bit."""
+def _rarity(docs: DataFrame, text: str) -> DataFrame:
+    """One row: an array by bucket of the rarity class, the logarithm of the count of the bucket's words in quarters of a bit."""
     counts = (
         docs.select(F.explode_outer(_words(F.col(text))).alias("w"))
         .groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("bucket"))
@@ -58,14 +58,19 @@ def _rarity(docs: DataFrame, text: str) -> Column:
     )
     every = docs.sparkSession.range(BUCKETS).withColumnRenamed("id", "bucket").join(counts, "bucket", "left")
     listed = every.agg(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("class", F.lit(0)).alias("class")))).alias("c"))
-    # One short text comes to the driver: two or three characters for each bucket.
-    classes = listed.select(F.concat_ws(",", F.transform("c", lambda x: x["class"].cast("string")))).first()[0]
-    # Functions of literals without a lambda: Spark works them out once, into a literal array.
-    return F.split(F.lit(classes), ",").cast("array<tinyint>")
+    return settled(listed.select(F.transform("c", lambda x: x["class"].cast("tinyint")).alias("classes")))
+
+
+def _with_ids(lines: DataFrame, rarity: DataFrame) -> DataFrame:
+    """With ``ids``: the line's distinct words as sorted numbers, seven bits of rarity class, then 56 of the word's hash.
+
+    The classes are asked for by a subquery: the plan names it and doesn't hold its numbers. Spark
+    takes no subquery within a function of array elements, so it is a column first, and Spark puts it in its place.
+    """
+    return lines.withColumn("classes", rarity.scalar()).withColumn("ids", _ids(F.col("line"), F.col("classes"))).drop("classes")
 
 
 def _ids(line: Column, rarity: Column) -> Column:
-    """The line's distinct words as sorted numbers: seven bits of rarity class, then 56 of the word's hash."""
 
     def number(word: Column) -> Column:
         hashed = F.xxhash64(word)
@@ -114,15 +119,13 @@ def _may_match(similarity: int) -> str:
     )
 
 
-def _with_candidates(lines: DataFrame, rarity: Column, similarity: int) -> DataFrame:
+def _with_candidates(lines: DataFrame, rarity: DataFrame, similarity: int) -> DataFrame:
     """``id, words``: lines that share a prefix word with another and pass all filters with it, and these words.
 
     Of two lines that match, both keep the first prefix word they share.
     """
     rows = (
-        lines.select("line", "id")
-        .distinct()
-        .select("id", _ids(F.col("line"), rarity).alias("ids"))
+        _with_ids(lines.select("line", "id").distinct(), rarity)
         .select("id", _count(F.col("ids")).alias("n"), _bits(F.col("ids"), 0).alias("b0"), _bits(F.col("ids"), 1).alias("b1"), F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
         .select("id", "n", "b0", "b1", F.posexplode_outer("prefix").alias("place", "word"))
     )
@@ -144,8 +147,7 @@ def _passes(some: DataFrame) -> Column:
     cells = some.groupBy(cell.alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), bit)).alias("bits"))
     every = some.sparkSession.range(FILTER_CELLS).select(F.col("id").cast("int").alias("cell")).join(cells, "cell", "left")
     listed = every.agg(F.array_sort(F.collect_list(F.struct("cell", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("c"))
-    bits = listed.select(F.concat_ws(",", F.transform("c", lambda x: x["bits"].cast("string")))).first()[0]
-    held = F.split(F.lit(bits), ",").cast("array<tinyint>")
+    held = settled(listed.select(F.transform("c", lambda x: x["bits"].cast("tinyint")).alias("bits"))).scalar()
     return F.call_function("shiftright", F.get(held, cell).cast("int"), bit).bitwiseAND(1) == 1
 
 
@@ -154,12 +156,14 @@ def _firsts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("line", "id").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("times"))
 
 
-def _covered(lines: DataFrame, some: DataFrame, rarity: Column, similarity: int) -> DataFrame:
+def _covered(lines: DataFrame, some: DataFrame, rarity: DataFrame, similarity: int) -> DataFrame:
     """``id`` of the lines with another line that matches and comes earlier."""
     rows = (
         _firsts(lines.where(_passes(some)))
         .join(some, "id")
-        .select("id", "first", "words", _ids(F.col("line"), rarity).alias("ids"))
+    )
+    rows = (
+        _with_ids(rows.select("id", "first", "words", "line"), rarity)
         .select("id", "first", "ids", _count(F.col("ids")).alias("n"), F.inline_outer("words"))
     )
     # Both sides use all columns, so that Spark shuffles the rows once for both.

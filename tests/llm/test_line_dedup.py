@@ -97,3 +97,19 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = dedup_lines(documents(spark, [(0, "a b")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_plans_hold_no_tables(spark):
+    """The two lookup tables are subqueries; as literals they made plans of millions of characters."""
+    from shelfwise.llm import line_dedup as L
+
+    docs = documents(spark, corpus(4, 20))
+    rarity, lines = L._rarity(docs, "text"), L._lines(docs, "doc_id", "text")
+    some = L._with_candidates(lines, rarity, 80)
+    covered = L._covered(lines, some, rarity, 80)
+    for df in (some, covered):
+        plan = df._jdf.queryExecution().toString()
+        assert len(plan) < 200_000
+        # The classes stand where they are used, and go through no row of their own.
+        optimised = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS classes" not in optimised and "scalar-subquery" in optimised
