@@ -33,8 +33,10 @@ SMOOTHING = 0.05
 # A document with a lower score than this is rejected by the filter.
 MIN_SCORE = 0.5
 
-# Words up to this many bytes go through the forward pass together; longer ones one by one.
+# Words up to this many bytes go through the forward pass together, longer ones one by one: the results are the same.
 _TOGETHER = 48
+# Below this a product of probabilities may have lost digits, and the word is worked out in logarithms.
+_SMALLEST = 1e-280
 _GROUP = 5_000
 _KEPT_WORDS = 50_000
 # Documents looked at together, whatever the size of the batch they come in.
@@ -173,6 +175,7 @@ class Scorer:
                 self.next[node, self.code[b]] = to
         # The last row: no piece ends here.
         self.probability = np.vstack([model.table, np.zeros((1, len(model.languages)))])
+        self.logarithm = np.log(model.table)
         self.end = np.array(ends, dtype=np.int32)
 
     def _together(self, words: list[bytes]) -> np.ndarray:
@@ -191,23 +194,41 @@ class Scorer:
                     if not len(node):
                         break
                 forward[stop + 1, alive] += forward[start, alive] * self.probability[self.end[node]]
-        return np.log(np.maximum(forward[size], 1e-300))
+        out = np.log(np.maximum(forward[size], _SMALLEST))
+        for i in np.flatnonzero(forward.min(axis=(0, 2)) < _SMALLEST).tolist():
+            out[i] = self._alone(words[i])
+        return out
+
+    def _pieces_within(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in the bytes, by where they stop: start, piece, and the first of each stop."""
+        starts, stops, pieces = [], [], []
+        at, node = np.arange(len(codes)), np.ones(len(codes), dtype=np.int32)
+        length = 0
+        while len(at):
+            node = self.next[node, codes[at + length]]
+            at, node = at[node > 0], node[node > 0]
+            length += 1
+            piece = self.end[node]
+            starts.append(at[piece >= 0])
+            stops.append(at[piece >= 0] + length)
+            pieces.append(piece[piece >= 0])
+            inside = at + length < len(codes)
+            at, node = at[inside], node[inside]
+        start, stop, piece = map(np.concatenate, (starts, stops, pieces))
+        order = np.argsort(stop, kind="stable")
+        return start[order], piece[order], np.searchsorted(stop[order], np.arange(len(codes) + 2))
 
     def _alone(self, word: bytes) -> np.ndarray:
-        """The same for a word of any length, in logarithms."""
+        """The same for a word of any length, in logarithms: some steps of numpy for each byte."""
         codes = self.code[np.frombuffer(b" " + word, dtype=np.uint8)]
-        forward = np.full((len(codes) + 1, len(self.languages)), -np.inf)
-        forward[0] = 0.0
-        with np.errstate(divide="ignore"):
-            for start in range(len(codes)):
-                node = 1
-                for stop in range(start, len(codes)):
-                    node = self.next[node, codes[stop]]
-                    if not node:
-                        break
-                    if self.end[node] >= 0:
-                        step = forward[start] + np.log(self.probability[self.end[node]])
-                        forward[stop + 1] = np.logaddexp(forward[stop + 1], step)
+        start, piece, first = self._pieces_within(codes)
+        forward = np.zeros((len(codes) + 1, len(self.languages)))
+        bounds = first.tolist()
+        for stop in range(1, len(codes) + 1):
+            low, high = bounds[stop], bounds[stop + 1]
+            steps = forward[start[low:high]] + self.logarithm[piece[low:high]]
+            most = steps.max(axis=0)
+            forward[stop] = most + np.log(np.exp(steps - most).sum(axis=0))
         return forward[-1]
 
     def words(self, wanted: list[bytes]) -> np.ndarray:

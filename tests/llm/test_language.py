@@ -5,7 +5,7 @@ import pytest
 
 from corpus_pipeline import language_id
 from shelfwise.llm.common import bucket, read
-from shelfwise.llm.language import Scorer, identify, keep_identified, letter_words, train_language
+from shelfwise.llm.language import LanguageModel, Scorer, identify, keep_identified, letter_words, train_language
 from tests.llm.helpers import by_key, documents, odd_documents, with_clashes
 
 TEXTS = {
@@ -47,6 +47,60 @@ def test_forward_sums_all_segmentations(model):
         assert np.allclose(scorer._alone(word), got[k])
 
 
+@pytest.mark.parametrize("trained", [1e4, 1e9, 1e12])
+def test_rare_letters_in_words_of_all_lengths(model, trained):
+    """However much was trained, and on either side of the length from which words go one by one."""
+    pieces = model.pieces()
+    table = np.full((len(pieces), 2), 0.05)
+    table[pieces.index(b"e")] += trained
+    table[pieces.index(b"z"), 1] += 20
+    rare = LanguageModel(("a", "b"), model.path, table / table.sum(axis=0))
+    scorer = Scorer(rare)
+    words = [bytes(b"zqxj"[(i * i + n) % 4] for i in range(n)) for n in range(1, 201)]
+    got = scorer.words(words)
+    for k, word in enumerate(words):
+        assert np.allclose(got[k], scorer._alone(word), rtol=1e-12)
+    # One language has seen one of the letters.
+    assert all(got[k, 1] - got[k, 0] > 5 for k, word in enumerate(words) if b"z" in word)
+    for k in range(0, 14):
+        assert np.allclose(got[k], brute_word(rare, words[k]), rtol=1e-9)
+
+
+def test_a_text_of_a_megabyte_without_blanks(model):
+    import time
+
+    began = time.time()
+    word = ("漢字かな交じり文" * 43_691).encode()[: 1 << 20].decode(errors="ignore").encode()
+    assert np.isfinite(Scorer(model).texts([word])).all()
+    assert time.time() - began < 60
+
+
+def test_counts_of_training_and_share_of_the_best(spark, model):
+    """The pieces counted one by one, and the share worked out from whole texts."""
+    import tiktoken
+
+    from shelfwise.llm.language import SMOOTHING, _ranks
+
+    encoding = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=_ranks(model.path), special_tokens={})
+    counts = {lang: {} for lang in TEXTS}
+    for lang, text in TEXTS.items():
+        for word in letter_words(text.encode()):
+            for piece in encoding._encode_single_piece(b" " + word):
+                counts[lang][piece] = counts[lang].get(piece, 0) + 3
+    for k, piece in enumerate(model.pieces()):
+        for j, lang in enumerate(model.languages):
+            total = sum(counts[lang].values()) + SMOOTHING * len(model.pieces())
+            expected = (counts[lang].get(_ranks(model.path)[piece], 0) + SMOOTHING) / total
+            assert math.isclose(model.table[k, j], expected, rel_tol=1e-12)
+    texts = [*TEXTS.values(), "the der le", "a", "chat und dog"]
+    found = by_key(identify(documents(spark, texts), model))
+    for i, text in enumerate(texts):
+        logs = sum(brute_word(model, w) for w in letter_words(text.encode()))
+        shares = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
+        assert found[i]["lang_pred"] == model.languages[int(shares.argmax())]
+        assert math.isclose(found[i]["score"], shares.max(), rel_tol=1e-9)
+
+
 def test_long_words_have_a_score(model):
     scorer = Scorer(model)
     assert np.isfinite(scorer.words([b"x" * 5000])).all()
