@@ -10,6 +10,7 @@ _HOMES = {
     "refresh": "shelfwise.plans",
     "shared_dir": "shelfwise.session",
     "tune": "shelfwise.session",
+    "update": "shelfwise.plans",
 }
 __all__ = list(_HOMES)
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from shelfwise import Lakehouse, predict_stockouts, publish_predictions, publish_views, refresh, tune
+from shelfwise import Lakehouse, predict_stockouts, publish_predictions, publish_views, refresh, tune, update
 from shelfwise.operators import run_report
 from shelfwise.schema import (
     DEFAULT_TOPIC,
@@ -58,6 +58,13 @@ def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
         publish_views(tables, args.bronze)
 
 
+def _update(spark: SparkSession, args: argparse.Namespace) -> None:
+    mode = "quarantine" if args.quarantine else "raise"
+    tables = update(spark, args.bronze, args.out, args.checkpoint, on_cast_error=mode)
+    if args.publish:
+        publish_views(tables, args.bronze)
+
+
 def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Lakehouse(spark, args.tables)
     predict_stockouts(tables, keep_keys=args.keep_keys)
@@ -94,6 +101,9 @@ def _parser() -> argparse.ArgumentParser:
     full.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
     full.add_argument("--overwrite", action="store_true", help="replace a run that nobody reads")
     full.add_argument("--publish", action="store_true", help="point the catalog views at the result")
+    days = job("update", _update, "bronze", "out", "checkpoint")
+    days.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
+    days.add_argument("--publish", action="store_true", help="point the catalog views at the tables")
     predict = job("predict", _predict, "tables")
     predict.add_argument("--keep-keys", action="store_true", help="write the table with keys as well")
     predict.add_argument("--no-publish", action="store_true", help="leave the catalog as it is")

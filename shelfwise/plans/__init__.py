@@ -1,6 +1,7 @@
-"""Whole jobs: the ordered full refresh, the prediction job, catalog views."""
+"""Whole jobs: the ordered full refresh, the update by touched days, the prediction job, catalog views."""
 
 from shelfwise.plans.catalog import publish_predictions, publish_views
 from shelfwise.plans.refresh import Lakehouse, predict_stockouts, refresh
+from shelfwise.plans.update import update
 
-__all__ = ["Lakehouse", "predict_stockouts", "publish_predictions", "publish_views", "refresh"]
+__all__ = ["Lakehouse", "predict_stockouts", "publish_predictions", "publish_views", "refresh", "update"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,16 +128,53 @@ def refresh(
     full_refresh(D.members_to_dim_store(members), tables.path("gold.dim_store"))
     full_refresh(D.members_to_dim_product(members), tables.path("gold.dim_product"))
 
-    def daily(df: DataFrame, table: str) -> None:
-        full_refresh(by_day(df, "date"), tables.path(table), ("date",))
-
-    daily(fact_sales_daily(tables.sales_events), "gold.fact_sales_daily")
-    daily(fact_inventory_daily(tables.inventory_events), "gold.fact_inventory_daily")
-    features = features_daily(tables.fact_sales_daily, tables.fact_inventory_daily, threshold)
-    daily(features, "gold.features_daily")
+    write_facts_and_features(
+        tables.sales_events,
+        tables.inventory_events,
+        threshold,
+        lambda df, table: full_refresh(by_day(df, "date"), tables.path(table), ("date",)),
+    )
     return tables
 
 
+def write_facts_and_features(
+    sales_events: DataFrame, inventory_events: DataFrame, threshold: int, write: Callable[[DataFrame, str], None]
+) -> None:
+    """Compute both facts once, write them, and write the features joined from the same rows.
+
+    The facts are kept, in memory or on the executors' disks, in the partitioning by their
+    keys in which they were computed, the same for both. So the join shuffles neither; read back
+    from their day folders, both would be shuffled once more. A lost executor's part is computed again.
+    """
+    with _same_partitions(sales_events.sparkSession):
+        sales = fact_sales_daily(sales_events).persist(StorageLevel.MEMORY_AND_DISK)
+        inventory = fact_inventory_daily(inventory_events).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write(sales, "gold.fact_sales_daily")
+            write(inventory, "gold.fact_inventory_daily")
+            write(features_daily(sales, inventory, threshold), "gold.features_daily")
+        finally:
+            sales.unpersist()
+            inventory.unpersist()
+
+
+@contextmanager
+def _same_partitions(spark: SparkSession) -> Iterator[None]:
+    """Rows kept here stay in as many partitions as the session's shuffles start from."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    settings = {"spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false"}
+    if first is not None:
+        settings["spark.sql.shuffle.partitions"] = first
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def by_day(df: DataFrame, *names: str) -> DataFrame:
     """The rows of a day brought together, so that it has few files; Spark splits large days by size."""
     return df.hint("rebalance", *names)

@@ -18,6 +18,12 @@ def full_refresh(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     writer.parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Replace the partitions that ``df`` has rows of; all others stay. ``df`` may read the table."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at the path."""
     try:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import operators as O
 from shelfwise import refresh
+from shelfwise.plans.refresh import write_facts_and_features
 from workload import derived as W
 from workload import queries as Q
 
@@ -43,6 +44,38 @@ def test_features_shuffle_each_fact_once_and_the_join_nothing(tables, no_broadca
     assert "SortMergeJoin" in plan
 
 
+def above_kept_rows(plan):
+    """The lines of a plan without those by which kept rows were computed."""
+    lines, inside = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if inside is not None and depth > inside:
+            continue
+        inside = depth if "InMemoryRelation" in line else None
+        lines.append(line)
+    return "\n".join(lines)
+
+
+def test_the_refresh_joins_kept_facts_without_an_exchange(spark, tables, no_broadcast):
+    """Neither fact is shuffled for the features, and each is computed once for its own table and theirs."""
+    plans, seen = {}, {}
+    settings = ("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(key) for key in settings]
+
+    def write(df, table):
+        plans[table] = executed_plan(df)
+        seen[table] = sorted(map(repr, df.collect()))
+
+    write_facts_and_features(tables.sales_events, tables.inventory_events, 2, write)
+    joined = plans["gold.features_daily"]
+    assert joined.count("InMemoryRelation") == 2
+    assert "SortMergeJoin" in above_kept_rows(joined) and "Exchange" not in above_kept_rows(joined)
+    read_back = O.features_daily(tables.fact_sales_daily, tables.fact_inventory_daily)
+    assert executed_plan(read_back).count("Exchange hashpartitioning") == 2
+    assert seen["gold.features_daily"] == sorted(map(repr, read_back.collect()))
+    assert [spark.conf.get(key) for key in settings] == before
+
+
 def test_sales_combine_before_the_shuffle_without_sorting(tables):
     plan = executed_plan(O.fact_sales_daily(tables.sales_events))
     assert plan.count("HashAggregate") == 2

@@ -1,0 +1,137 @@
+"""The incremental refresh against the full one, and what it leaves alone."""
+
+import importlib
+import json
+import random
+from datetime import date
+
+import pytest
+
+from shelfwise import publish_views, refresh, update
+from shelfwise.plans import Lakehouse
+from shelfwise.plans.update import apply_batch, on_days
+from shelfwise.sources import read_bronze
+from shelfwise.streaming import load_bronze
+from tests.conftest import rows
+from tests.fixtures import EDGE_LINES, SAMPLE_EVENTS
+from tests.test_plans import executed_plan
+from tests.test_refresh import contents
+
+SAMPLE_LINES = [json.dumps(e) for e in SAMPLE_EVENTS]
+
+
+@pytest.fixture
+def lake(spark, tmp_path, write_lines):
+    """Adds lines as a new raw file, loads them and updates the tables."""
+
+    class Lake:
+        out, bronze = str(tmp_path / "tables"), str(tmp_path / "bronze")
+        files = 0
+
+        def add(self, lines, **options):
+            if lines is not None:
+                write_lines(tmp_path / "raw" / f"{self.files}.jsonl", lines)
+                self.files += 1
+            load_bronze(spark, str(tmp_path / "raw"), self.bronze, str(tmp_path / "loaded")).awaitTermination()
+            return update(spark, self.bronze, self.out, str(tmp_path / "updated"), **options)
+
+        def full(self, **options):
+            return refresh(spark, read_bronze(spark, self.bronze), str(tmp_path / f"full{self.files}"), **options)
+
+    return Lake()
+
+
+def day_files(tmp_path, table):
+    return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in (tmp_path / "tables" / table).glob("date=*")}
+
+
+def test_each_update_equals_a_full_refresh(lake):
+    """Late, repeated, untidy and undated events, in any order."""
+    lines = [line for line in EDGE_LINES if line] + SAMPLE_LINES + SAMPLE_LINES[:3]
+    undated = {**SAMPLE_EVENTS[0], "event_date": None}
+    lines += [json.dumps(undated), json.dumps({**SAMPLE_EVENTS[15], "event_date": None}), json.dumps(undated)]
+    random.Random(2).shuffle(lines)
+    for start in range(0, len(lines), 13):
+        tables = lake.add(lines[start : start + 13])
+        assert contents(tables) == contents(lake.full())
+    assert tables.fact_sales_daily.where("date IS NULL").count() == 1
+
+
+def test_other_days_keep_their_files(lake, tmp_path):
+    lake.add(SAMPLE_LINES)
+    facts = ("gold/fact_sales_daily", "gold/fact_inventory_daily", "gold/features_daily")
+    before = {table: day_files(tmp_path, table) for table in facts}
+    silver = sorted(p.name for p in (tmp_path / "tables" / "silver").rglob("*.parquet"))
+    late = {**SAMPLE_EVENTS[0], "event_date": "2026-03-05"}
+    lake.add([json.dumps(late)])
+    for table in facts:
+        after = day_files(tmp_path, table)
+        assert after["date=2026-03-04"] == before[table]["date=2026-03-04"]
+        assert after["date=2026-03-05"] != before[table]["date=2026-03-05"]
+    assert set(silver) < {p.name for p in (tmp_path / "tables" / "silver").rglob("*.parquet")}
+
+
+def test_nothing_new_changes_nothing(lake, tmp_path):
+    tables = lake.add(SAMPLE_LINES)
+    files = sorted(p for p in (tmp_path / "tables").rglob("*.parquet"))
+    first = contents(tables)
+    assert contents(lake.add(None)) == first
+    assert sorted(p for p in (tmp_path / "tables").rglob("*.parquet")) == files
+
+
+def test_events_of_other_kinds_reach_the_dimensions(lake):
+    lake.add(SAMPLE_LINES[:5])
+    other = {"event_type": "return", "event_date": "2027-01-01", "store_id": "new", "product_id": None}
+    tables = lake.add([json.dumps(other), json.dumps(other)])
+    assert contents(tables) == contents(lake.full())
+    assert ("new",) in rows(tables.dim_store) and (None,) in rows(tables.dim_product)
+
+
+def test_an_update_before_any_event(spark, lake):
+    tables = lake.add([])
+    assert all(not found for found in contents(tables).values())
+    publish_views(tables)
+    assert spark.table("gold.features_daily").count() == 0
+    assert contents(lake.add(SAMPLE_LINES)) == contents(lake.full())
+
+
+def test_a_batch_cut_off_and_given_again(spark, tmp_path, make_bronze, monkeypatch):
+    """It fails after Silver and one dimension are written; the second try leaves what one run would."""
+    from shelfwise.plans import Lakehouse
+    first, second = make_bronze(SAMPLE_LINES[:12]), make_bronze([*SAMPLE_LINES[12:], EDGE_LINES[0], EDGE_LINES[3]])
+    tables = Lakehouse(spark, str(tmp_path / "tables"))
+    apply_batch(tables, first, 0)
+    module = importlib.import_module("shelfwise.plans.update")
+    write = module.overwrite_partitions
+
+    def failing(df, path, partition_by):
+        if path.endswith("dim_store"):
+            raise OSError("lost")
+        write(df, path, partition_by)
+
+    monkeypatch.setattr(module, "overwrite_partitions", failing)
+    with pytest.raises(OSError):
+        apply_batch(tables, second, 1)
+    monkeypatch.setattr(module, "overwrite_partitions", write)
+    apply_batch(tables, second, 1)
+    apply_batch(tables, second, 1)
+    assert contents(tables) == contents(refresh(spark, first.unionAll(second), str(tmp_path / "full")))
+
+
+def test_a_bad_value_stops_the_update_or_is_set_aside(spark, lake):
+    lake.add(SAMPLE_LINES[:4])
+    bad = json.dumps({**SAMPLE_EVENTS[0], "qty": "many"})
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST|StreamingQueryException|FOREACH_BATCH"):
+        lake.add([bad, SAMPLE_LINES[5]])
+    tables = lake.add(None, on_cast_error="quarantine")
+    assert contents(tables) == contents(lake.full(on_cast_error="quarantine"))
+    assert tables.cast_failures.count() == 1
+
+
+def test_only_touched_days_are_read(spark, lake):
+    lake.add(SAMPLE_LINES)
+    events = Lakehouse(spark, lake.out).sales_events
+    some = SAMPLE_EVENTS[0]["event_date"]
+    plan = executed_plan(events.where(on_days(events["event_date"], [date.fromisoformat(some), None])))
+    assert some in plan.split("PartitionFilters")[1].split("]")[0]
+

@@ -383,3 +383,10 @@ ORACLE_SQL: dict[str, str] = {
     QUALIFY row_number() OVER (
         PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) = 1""",
 }
+
+# Tables brought up to date by and by hold what the same events hold at once.
+ORACLE_SQL |= {
+    "update_features_daily": ORACLE_SQL["refresh_features_daily"],
+    "update_untidy_inventory": ORACLE_SQL["untidy_fact_inventory"],
+    "update_untidy_dim_store": ORACLE_SQL["untidy_dim_store"],
+}

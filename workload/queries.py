@@ -8,7 +8,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise import Lakehouse, predict_stockouts, refresh, shared_dir
+from shelfwise import Lakehouse, predict_stockouts, refresh, shared_dir, update
 from shelfwise import operators as O
 from shelfwise.functions import date_path, encode_json, field, field_or_null, iso_utc, parse_event
 from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN
@@ -373,6 +373,39 @@ def refresh_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_whole(tables.stockout_predictions), TRAINED_DECIMALS)
 
 
+def _updated(spark: SparkSession, sf_dir: str, lines: W.Lines) -> Lakehouse:
+    """Tables brought up to date three times: with the days before the middle, those after it, and late events of all days.
+
+    Each time the new lines are written as files, loaded into Bronze, and brought in from there.
+    """
+    work = shared_dir(spark, "update")
+    every = lines(spark, sf_dir)
+    day = F.to_date("ts")
+    span = every.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    middle = span.select(F.date_add("first", F.ceil(F.datediff("last", "first") / 2).cast("int"))).first()[0]
+    late, early = F.col("event_id") % 3 == 0, day < F.lit(middle)
+    for some in (early & ~late, ~early & ~late, late):
+        every.where(some).select("value").write.mode("append").text(f"{work}/raw")
+        load_bronze(spark, f"{work}/raw", f"{work}/bronze", f"{work}/loaded").awaitTermination()
+        tables = update(spark, f"{work}/bronze", f"{work}/tables", f"{work}/updated")
+    return tables
+
+
+def update_features_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = _updated(spark, sf_dir, W.raw_lines).features_daily
+    return W.as_bigint(features, "total_qty_sold", "on_hand_latest")
+
+
+def update_untidy_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a date or time, and many that tie, brought in by and by."""
+    return W.as_bigint(_updated(spark, sf_dir, W.untidy_dated_lines).fact_inventory_daily, "on_hand_latest")
+
+
+def update_untidy_dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members come once, whichever update had them first; a JSON null is one."""
+    return _updated(spark, sf_dir, W.untidy_dated_lines).dim_store
+
+
 # --- the same operators on larger tables ---------------------------------------
 
 
@@ -447,6 +480,9 @@ QUERIES: dict[str, Query] = {
         stockout_predictions_keyed,
         refresh_features_daily,
         refresh_predictions,
+        update_features_daily,
+        update_untidy_inventory,
+        update_untidy_dim_store,
         lineitem_sales_daily,
         lineitem_inventory_daily,
         lineitem_features_daily,
