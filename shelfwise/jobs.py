@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -19,10 +21,11 @@ from shelfwise.schema import (
     REMEMBER_FILES,
 )
 from shelfwise.sources import read_bronze, read_topic
-from shelfwise.streaming import land_raw, load_bronze
+from shelfwise.streaming import LoadReport, land_raw, load_bronze, load_files, reported, run_stream
 
 
 def _land(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Until the process is told to end, and then to the end of the batch."""
     messages = read_topic(
         spark,
         args.servers,
@@ -30,23 +33,40 @@ def _land(spark: SparkSession, args: argparse.Namespace) -> None:
         max_events_per_batch=args.max_batch_events,
         max_events_per_task=args.max_task_events,
     )
-    land_raw(messages, args.raw, args.checkpoint, files_per_day=args.files_per_day).awaitTermination()
+    stop = threading.Event()
+    before = {number: signal.signal(number, lambda *_: stop.set()) for number in (signal.SIGTERM, signal.SIGINT)}
+    report = reported(spark)
+    try:
+        run_stream(
+            lambda: land_raw(messages, args.raw, args.checkpoint, files_per_day=args.files_per_day), stop, args.retries
+        )
+    finally:
+        spark.streams.removeListener(report)
+        for number, handler in before.items():
+            signal.signal(number, handler)
 
 
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
-    query = load_bronze(
-        spark,
-        args.raw,
-        args.bronze,
-        args.checkpoint,
-        name_glob=args.files,
-        path_regex=args.paths,
-        archive=args.archive,
-        remember=args.remember,
-    )
-    query.awaitTermination()
-    lines = sum(progress.numInputRows for progress in query.recentProgress)
-    print(f"Lines read: {lines}" if lines else f"No new file below {args.raw} is named {args.files} and matches {args.paths}")
+    if args.stream:
+        query = load_bronze(
+            spark,
+            args.raw,
+            args.bronze,
+            args.checkpoint,
+            name_glob=args.files,
+            path_regex=args.paths,
+            archive=args.archive,
+            remember=args.remember,
+        )
+        query.awaitTermination()
+        counts = [progress.observedMetrics["load"] for progress in query.recentProgress if progress.numInputRows]
+        report = sum((LoadReport(0, **row.asDict()) for row in counts), LoadReport())
+    else:
+        report = load_files(spark, args.raw, args.bronze, args.checkpoint, name_glob=args.files, path_regex=args.paths)
+    if report.files or report.lines:
+        print(f"Lines read: {report.lines}, loaded: {report.loaded}, rejected: {report.rejected}")
+    else:
+        print(f"No new file below {args.raw} is named {args.files} and matches {args.paths}")
 
 
 def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -92,11 +112,13 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--max-batch-events", type=int, default=MAX_BATCH_EVENTS)
     land.add_argument("--max-task-events", type=int, default=MAX_TASK_EVENTS)
     land.add_argument("--files-per-day", type=int, default=4, help="most files a batch adds for a day")
+    land.add_argument("--retries", type=int, default=3, help="failures in a row after which the job ends")
     load = job("load", _load, "raw", "bronze", "checkpoint")
+    load.add_argument("--stream", action="store_true", help="load with a stream, which remembers files in memory")
     load.add_argument("--files", default=RAW_FILE_GLOB, help="name pattern of the raw files")
     load.add_argument("--paths", default=RAW_PATH_REGEX, help="regular expression that their paths match")
-    load.add_argument("--archive", help="folder to which loaded files are moved")
-    load.add_argument("--remember", default=REMEMBER_FILES, help="how long loaded files are remembered")
+    load.add_argument("--archive", help="with --stream: folder to which loaded files are moved")
+    load.add_argument("--remember", default=REMEMBER_FILES, help="with --stream: how long loaded files are remembered")
     full = job("refresh", _refresh, "bronze", "out")
     full.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
     full.add_argument("--overwrite", action="store_true", help="replace a run that nobody reads")

@@ -1,6 +1,6 @@
 """Batch operators on DataFrames, from Bronze to ranked predictions."""
 
-from shelfwise.operators.bronze import bronze_events, parse_lines, rejected_lines
+from shelfwise.operators.bronze import bronze_events, load_counts, parse_lines, rejected_lines
 from shelfwise.operators.dimensions import (
     dim_date,
     dim_product,
@@ -45,6 +45,7 @@ __all__ = [
     "fact_sales_daily",
     "features_daily",
     "latest_per_key",
+    "load_counts",
     "members_to_dim_date",
     "members_to_dim_product",
     "members_to_dim_store",

@@ -41,3 +41,13 @@ def bronze_events(parsed: DataFrame) -> DataFrame:
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("status") == REJECTED).select("ingested_at", "line", "source_file")
+
+
+def load_counts() -> list[Column]:
+    """Aggregates for ``observe`` over parsed lines: counted in the pass that writes them."""
+    status = F.col("status")
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(status == LOADED, 1)).alias("loaded"),
+        F.count(F.when(status == REJECTED, 1)).alias("rejected"),
+    ]

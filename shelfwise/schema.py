@@ -13,6 +13,8 @@ FLUSH_EVENTS = 5000
 FLUSH_INTERVAL = "1h"
 DEFAULT_TOPIC = "retail_events"
 MAX_LOAD_BYTES = 1 << 40
+# Files of one load from the table of names: as many paths as the driver holds.
+MAX_LOAD_FILES = 50_000
 
 # Raw files: those named so by other producers, and those of the landing job, but for the
 # messages that it set aside.

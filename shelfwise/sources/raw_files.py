@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,29 @@ def scan_raw(
     return _lines(spark.read.options(**_options(name_glob)).text(path), path_regex)
 
 
+def list_raw(
+    spark: SparkSession, path: str, name_glob: str = RAW_FILE_GLOB, path_regex: str | None = RAW_PATH_REGEX
+) -> DataFrame:
+    """``path, length`` of the matching files below ``path``; no file is opened, and without any there is no row."""
+    try:
+        files = spark.read.format("binaryFile").options(**_options(name_glob)).load(path).select("path", "length")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint")
+    return files if path_regex is None else files.where(F.col("path").rlike(path_regex))
+
+
+def scan_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All lines of the named files, with the file each came from."""
+    return _lines(spark.read.text([_escaped(path) for path in paths]), None)
+
+
+def _escaped(path: str) -> str:
+    """The path as a pattern that matches it alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def stream_raw(
     spark: SparkSession,
     path: str,

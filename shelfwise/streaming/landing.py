@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,6 +63,12 @@ def route_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def landing_counts() -> list[Column]:
+    """Aggregates for ``observe`` over routed messages: counted in the pass that writes them."""
+    states = (LANDED, QUARANTINED, UNDATED)
+    return [F.count(F.when(F.col("state") == state, 1)).alias(state) for state in states]
+
+
 def land_raw(
     messages: DataFrame,
     out: str,
@@ -78,7 +84,8 @@ def land_raw(
     so by count or time. Give other sources ``{"processingTime": "1 hour"}`` to
     gather as long, or ``{"availableNow": True}`` to drain what is there and stop.
 
-    Lines of one day are brought together before the write, so a batch adds at most
+    The counts of landed, quarantined and undated messages stand in each batch's progress
+    under ``landing``. Lines of one day are brought together before the write, so a batch adds at most
     ``files_per_day`` files for each day in it, however many tasks read it; a busy day is
     shared by as many tasks.
     """
@@ -87,6 +94,7 @@ def land_raw(
     part = F.pmod(F.xxhash64("value"), F.lit(files_per_day))
     writer = (
         route_messages(messages, value)
+        .observe("landing", *landing_counts())
         .repartition(*_LAYOUT, part)
         .writeStream.format("text")
         .partitionBy(*_LAYOUT)

@@ -6,7 +6,7 @@ import pytest
 
 from shelfwise import Lakehouse, jobs
 from shelfwise.jobs import main
-from shelfwise.streaming import land_raw
+from shelfwise.streaming import land_raw, landed_lines
 from tests.fixtures import SAMPLE_EVENTS
 
 
@@ -15,7 +15,7 @@ def test_jobs_from_files_to_report(spark, tmp_path, write_lines, capsys):
     paths = {name: str(tmp_path / name) for name in ("raw", "bronze", "checkpoint", "out")}
     load = ["load", "--raw", paths["raw"], "--bronze", paths["bronze"], "--checkpoint", paths["checkpoint"]]
     main(load)
-    assert "Lines read: 28" in capsys.readouterr().out
+    assert "Lines read: 28, loaded: 28, rejected: 0" in capsys.readouterr().out
     main(load)
     assert "No new file" in capsys.readouterr().out
     main(["refresh", "--bronze", paths["bronze"], "--out", paths["out"], "--publish"])
@@ -55,6 +55,43 @@ def test_messages_to_published_tables_with_defaults(spark, tmp_path, monkeypatch
     assert spark.table("gold.stockout_predictions").where("stockout_risk_label = 1").count() == 2
 
 
+def test_update_and_load_by_stream(spark, tmp_path, write_lines, capsys):
+    paths = {name: str(tmp_path / name) for name in ("raw", "bronze", "loaded", "out", "updated")}
+    load = ["load", "--stream", "--raw", paths["raw"], "--bronze", paths["bronze"], "--checkpoint", paths["loaded"]]
+    days = ["update", "--bronze", paths["bronze"], "--out", paths["out"], "--checkpoint", paths["updated"], "--publish"]
+    for part, lines in enumerate(([json.dumps(e) for e in SAMPLE_EVENTS[:20]], ["broken", *(json.dumps(e) for e in SAMPLE_EVENTS[20:])])):
+        write_lines(tmp_path / "raw" / f"{part}.jsonl", lines)
+        main(load)
+        main(days)
+    said = capsys.readouterr().out
+    assert "Lines read: 20, loaded: 20, rejected: 0" in said and "Lines read: 9, loaded: 8, rejected: 1" in said
+    assert spark.table("gold.features_daily").count() == 13
+    main(["predict", "--tables", paths["out"]])
+    assert "13 rows scored" in capsys.readouterr().out
+
+
+def test_a_signal_ends_the_landing_after_a_batch(spark, tmp_path, monkeypatch):
+    import os
+    import signal
+    import threading
+
+    source = str(tmp_path / "topic")
+    spark.createDataFrame([(json.dumps(e).encode(),) for e in SAMPLE_EVENTS], "value binary").write.parquet(source)
+    monkeypatch.setattr(jobs, "read_topic", lambda session, *_, **__: session.readStream.schema("value binary").parquet(source))
+    raw = tmp_path / "raw"
+
+    def end():
+        while not list(raw.glob("state=landed/*/*/*/part-*")):
+            pass
+        os.kill(os.getpid(), signal.SIGTERM)
+
+    threading.Thread(target=end, daemon=True).start()
+    main(["land", "--servers", "host:1", "--raw", str(raw), "--checkpoint", str(tmp_path / "c")])
+    assert not spark.streams.active
+    assert landed_lines(spark, str(raw)).count() == 28
+    assert signal.getsignal(signal.SIGTERM) == signal.SIG_DFL
+
+
 def test_missing_path_is_refused(spark):
     with pytest.raises(SystemExit):
         main(["land", "--servers", "host:1", "--checkpoint", "c"])
