@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from shelfwise import Lakehouse, predict_stockouts, publish_predictions, publish_views, refresh, tune, update
 from shelfwise.operators import run_report
+from shelfwise.plans import publish_run, save_predictions
 from shelfwise.schema import (
     DEFAULT_TOPIC,
     MAX_BATCH_EVENTS,
@@ -76,6 +77,8 @@ def _refresh(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     if args.publish:
         publish_views(tables, args.bronze)
+    if args.runs:
+        print(f"Run {publish_run(tables, args.runs)} is the current one")
 
 
 def _update(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -88,7 +91,9 @@ def _update(spark: SparkSession, args: argparse.Namespace) -> None:
 def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Lakehouse(spark, args.tables)
     predict_stockouts(tables, keep_keys=args.keep_keys)
-    if not args.no_publish:
+    if args.table:
+        save_predictions(tables, args.table)
+    elif not args.no_publish:
         publish_predictions(tables, keyed=args.keep_keys)
     rows, top = run_report(tables.stockout_predictions)
     print(f"{rows} rows scored; those of highest risk:")
@@ -123,12 +128,14 @@ def _parser() -> argparse.ArgumentParser:
     full.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
     full.add_argument("--overwrite", action="store_true", help="replace a run that nobody reads")
     full.add_argument("--publish", action="store_true", help="point the catalog views at the result")
+    full.add_argument("--runs", help="table of runs that gets this one as the current run")
     days = job("update", _update, "bronze", "out", "checkpoint")
     days.add_argument("--quarantine", action="store_true", help="set uncastable events aside")
     days.add_argument("--publish", action="store_true", help="point the catalog views at the tables")
     predict = job("predict", _predict, "tables")
     predict.add_argument("--keep-keys", action="store_true", help="write the table with keys as well")
     predict.add_argument("--no-publish", action="store_true", help="leave the catalog as it is")
+    predict.add_argument("--table", help="declared table that gets the predictions, in place of a view")
     return parser
 
 

@@ -389,4 +389,10 @@ ORACLE_SQL |= {
     "update_features_daily": ORACLE_SQL["refresh_features_daily"],
     "update_untidy_inventory": ORACLE_SQL["untidy_fact_inventory"],
     "update_untidy_dim_store": ORACLE_SQL["untidy_dim_store"],
+    "bronze_file_load": ORACLE_SQL["bronze_incremental_stream"],
+    "bronze_file_load_rejects": ORACLE_SQL["bronze_incremental_rejects"],
+    "bronze_table": ORACLE_SQL["bronze_events_typed"],
+    "predictions_table": ORACLE_SQL["refresh_predictions"],
+    "refresh_current_run": _FROM_FEATURES
+    + f"SELECT date, dayofweek(date)::INTEGER AS day_of_week, {_FEATURE_COLUMNS.removeprefix('date,')} FROM features",
 }

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from shelfwise import Lakehouse, predict_stockouts, refresh, shared_dir, update
 from shelfwise import operators as O
 from shelfwise.functions import date_path, encode_json, field, field_or_null, iso_utc, parse_event
-from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN
+from shelfwise.plans import open_run, publish_run, save_bronze, save_predictions
+from shelfwise.schema import EVENT_FIELDS, FEATURE_COLUMNS, LABEL_COLUMN, PROBABILITY_COLUMN, SALE
 from shelfwise.sources import full_refresh, read_bronze, read_rejects, scan_raw
 from shelfwise.streaming import (
     encode_events,
     land_raw,
     landed_lines,
     load_bronze,
+    load_files,
     quarantined_lines,
     undated_lines,
 )
@@ -105,6 +107,29 @@ def bronze_incremental_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejects(spark, _load_in_steps(spark, lines)).select("line", day.alias("day"))
 
 
+def _load_files_in_steps(spark: SparkSession, lines: DataFrame) -> str:
+    """The same days in the same steps, with the names of loaded files in a table."""
+    work = shared_dir(spark, "file-load")
+    days = lines.agg(F.min(F.to_date("ts")).alias("first"), F.max(F.to_date("ts")).alias("last"))
+    middle = days.select(F.date_add("first", F.ceil(F.datediff("last", "first") / 2).cast("int"))).first()[0]
+    early = F.to_date("ts") < F.lit(middle)
+    for some in (early, F.lit(False), ~early):
+        _write_files(lines.where(some), f"{work}/raw")
+        load_files(spark, f"{work}/raw", f"{work}/bronze", f"{work}/log")
+    return f"{work}/bronze"
+
+
+def bronze_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(read_bronze(spark, _load_files_in_steps(spark, W.raw_lines_with_broken(spark, sf_dir))))
+
+
+def bronze_file_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines, with the day in the path of the file each came from."""
+    day = F.regexp_extract("source_file", "/y=(\\d+)/m=(\\d+)/d=(\\d+)/", 3).cast("int")
+    bronze = _load_files_in_steps(spark, W.raw_lines_with_broken(spark, sf_dir))
+    return read_rejects(spark, bronze).select("line", day.alias("day"))
+
+
 def raw_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the dated text files; other names and other folders hold more, and are passed over."""
     path = f"{shared_dir(spark, 'raw')}/raw"
@@ -373,6 +398,48 @@ def refresh_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_whole(tables.stockout_predictions), TRAINED_DECIMALS)
 
 
+def refresh_current_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features with the members of all dimensions, joined by name in a run that is no longer the newest."""
+    bronze, work = W.bronze(spark, sf_dir), shared_dir(spark, "runs")
+    session = spark.newSession()
+    publish_run(refresh(spark, bronze, f"{work}/0"), f"{work}/runs")
+    open_run(session, f"{work}/runs")
+    publish_run(refresh(spark, bronze.limit(0), f"{work}/1"), f"{work}/runs")
+    return session.sql(
+        "SELECT f.date, d.day_of_week, f.store_id, f.product_id, CAST(total_qty_sold AS BIGINT) AS total_qty_sold,"
+        " sales_event_count, CAST(on_hand_latest AS BIGINT) AS on_hand_latest, stockout_risk_label FROM features_daily f"
+        " JOIN dim_date d ON d.date = f.date JOIN dim_store USING (store_id) JOIN dim_product USING (product_id)"
+    )
+
+
+def _namespace(spark: SparkSession, purpose: str) -> str:
+    """A namespace of its own for each call, with its tables below the shared folder."""
+    path = shared_dir(spark, purpose)
+    name = path.rpartition("/")[2].replace("-", "_")
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{path}'")
+    return name
+
+
+def predictions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predictions of a run, read by name from a table of declared types."""
+    tables = refresh(spark, W.bronze(spark, sf_dir), f"{shared_dir(spark, 'refresh')}/tables")
+    predict_stockouts(tables)
+    name = f"{_namespace(spark, 'gold')}.stockout_predictions"
+    save_predictions(tables, name)
+    save_predictions(tables, name)
+    return _rounded(_whole(spark.table(name)), TRAINED_DECIMALS)
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events loaded twice into a table of declared types, in two halves, and read by name in SQL."""
+    bronze, name = W.bronze(spark, sf_dir), f"{_namespace(spark, 'bronze')}.raw_events"
+    sale = F.coalesce(field("event_type") == SALE, F.lit(False))
+    for half in (sale, ~sale):
+        save_bronze(spark, bronze.where(half), name)
+    fields = ", ".join(f"event:{f}::{kind} AS {f}" for f, kind in EVENT_FIELDS.items())
+    return W.as_bigint(spark.sql(f"SELECT {fields} FROM {name}"), "qty", "on_hand")
+
+
 def _updated(spark: SparkSession, sf_dir: str, lines: W.Lines) -> Lakehouse:
     """Tables brought up to date three times: with the days before the middle, those after it, and late events of all days.
 
@@ -480,6 +547,11 @@ QUERIES: dict[str, Query] = {
         stockout_predictions_keyed,
         refresh_features_daily,
         refresh_predictions,
+        refresh_current_run,
+        predictions_table,
+        bronze_table,
+        bronze_file_load,
+        bronze_file_load_rejects,
         update_features_daily,
         update_untidy_inventory,
         update_untidy_dim_store,
