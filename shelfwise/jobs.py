@@ -116,7 +116,7 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--topic", default=DEFAULT_TOPIC)
     land.add_argument("--max-batch-events", type=int, default=MAX_BATCH_EVENTS)
     land.add_argument("--max-task-events", type=int, default=MAX_TASK_EVENTS)
-    land.add_argument("--files-per-day", type=int, default=4, help="most files a batch adds for a day")
+    land.add_argument("--files-per-day", type=int, help="files a batch adds for a day, if not by its size")
     land.add_argument("--retries", type=int, default=3, help="failures in a row after which the job ends")
     load = job("load", _load, "raw", "bronze", "checkpoint")
     load.add_argument("--stream", action="store_true", help="load with a stream, which remembers files in memory")

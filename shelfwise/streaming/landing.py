@@ -75,7 +75,7 @@ def land_raw(
     checkpoint: str,
     trigger: dict | None = None,
     value: str = "value",
-    files_per_day: int = 4,
+    files_per_day: int | None = None,
 ) -> StreamingQuery:
     """Append messages below ``out/state=…/y=…/m=…/d=…/`` exactly once.
 
@@ -85,18 +85,21 @@ def land_raw(
     gather as long, or ``{"availableNow": True}`` to drain what is there and stop.
 
     The counts of landed, quarantined and undated messages stand in each batch's progress
-    under ``landing``. Lines of one day are brought together before the write, so a batch adds at most
-    ``files_per_day`` files for each day in it, however many tasks read it; a busy day is
-    shared by as many tasks.
+    under ``landing``. Lines of one day are brought together before
+    the write, and Spark splits what is larger than its advisory partition size: a batch adds
+    one file for a day with few lines, and for a busy one as many as its bytes ask for, each
+    written by a task of its own. With ``files_per_day`` the lines of a day are dealt over so many
+    tasks instead, whatever there is of them.
     """
     if not out or not checkpoint:
         raise ValueError("an output path and a checkpoint path are required")
-    part = F.pmod(F.xxhash64("value"), F.lit(files_per_day))
+    routed = route_messages(messages, value).observe("landing", *landing_counts())
+    if files_per_day is None:
+        dealt = routed.hint("rebalance", *_LAYOUT)
+    else:
+        dealt = routed.repartition(*_LAYOUT, F.pmod(F.xxhash64("value"), F.lit(files_per_day)))
     writer = (
-        route_messages(messages, value)
-        .observe("landing", *landing_counts())
-        .repartition(*_LAYOUT, part)
-        .writeStream.format("text")
+        dealt.writeStream.format("text")
         .partitionBy(*_LAYOUT)
         .option("checkpointLocation", checkpoint)
         .option("path", out)

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import math
+import sys
 from pathlib import Path
 
 import duckdb
@@ -38,6 +39,17 @@ def test_every_query_has_sql():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+@pytest.mark.parametrize("missing", ["shelfwise.llm", "shelfwise.llm.queries", "xxhash", "corpus_pipeline"])
+def test_other_queries_stay_without_the_training_data_operators(monkeypatch, missing):
+    """They, their pipeline or a package that they need cannot be imported."""
+    for name in [n for n in sys.modules if n.split(".")[0] == "corpus_pipeline" or n.startswith("shelfwise.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
+    assert "pipeline" not in contract.queries()
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 166
 

@@ -164,6 +164,27 @@ def test_a_batch_adds_few_files_for_each_of_many_days(spark, tmp_path):
     assert sorted(r.value for r in landed_lines(spark, str(out)).collect()) == sorted(lines)
 
 
+def test_files_of_a_day_follow_the_size_of_its_batch(spark, tmp_path):
+    """Read in many tasks; equal lines are as good as others, and all of them of one day."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "512k")
+    counts = {}
+    try:
+        for name, lines in (("few", 40), ("more", 5_000), ("most", 48_000)):
+            text = F.sha2((F.col("id") % 20_000).cast("string"), 512)
+            numbered = F.concat(F.lit('{"event_date":"2026-01-02","text":"'), text, F.lit('"}'))
+            source, out = str(tmp_path / name), tmp_path / f"{name}-landed"
+            spark.range(0, lines, 1, 16).select(F.encode(numbered, "UTF-8").alias("value")).write.parquet(source)
+            stream = spark.readStream.schema("value binary").parquet(source)
+            land_raw(stream, str(out), str(tmp_path / f"{name}-c"), {"availableNow": True}).awaitTermination()
+            counts[name] = len(list(out.glob("state=landed/y=2026/m=01/d=02/part-*")))
+            assert landed_lines(spark, str(out)).count() == lines
+    finally:
+        spark.conf.unset(size)
+    assert counts["few"] == 1
+    assert 1 < counts["more"] < counts["most"]
+
+
 def test_landed_files_load_by_default(spark, tmp_path, write_lines, load):
     messages = [line.encode() for line in SAMPLE_LINES] + [b"broken", b'{"event_date":"x"}']
     out = _land(spark, tmp_path, messages, 0)
