@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import schema as S
-from shelfwise.operators import dimensions as D
 from shelfwise.operators.silver import cast_failures, silver_events
-from shelfwise.plans.refresh import Lakehouse, by_day, write_facts_and_features
+from shelfwise.plans.refresh import Lakehouse, by_day, dimension_tables, write_facts_and_features
 from shelfwise.sources.tables import exists, overwrite_partitions
 
 BATCH = "batch"
@@ -94,18 +93,13 @@ def _numbered(df: DataFrame, number: int) -> DataFrame:
 
 def _add_members(tables: Lakehouse, bronze: DataFrame, number: int, on_cast_error: str) -> None:
     """Dimension members that no earlier batch has; a member that is a JSON null counts once too."""
-    spark = tables.spark
-    path = tables.path("gold.dimension_members")
-    overwrite_partitions(_numbered(D.dimension_members(bronze, on_cast_error), number), path, (BATCH,))
-    members = spark.read.schema(f"{S.DIMENSION_MEMBERS_SCHEMA.toDDL()}, {BATCH} BIGINT").parquet(path)
-    new, old = (members.where(condition).drop(BATCH) for condition in (F.col(BATCH) == number, F.col(BATCH) < number))
-    added = new.subtract(old)
-    for table, chosen in (
-        ("gold.dim_date", D.members_to_dim_date),
-        ("gold.dim_store", D.members_to_dim_store),
-        ("gold.dim_product", D.members_to_dim_product),
-    ):
-        overwrite_partitions(_numbered(chosen(added), number), tables.path(table), (BATCH,))
+    for table, members in dimension_tables(bronze, on_cast_error):
+        path = tables.path(table)
+        if exists(tables.spark, path):
+            schema = f"{members.schema.toDDL()}, {BATCH} BIGINT"
+            old = tables.spark.read.schema(schema).parquet(path).where(F.col(BATCH) < number).drop(BATCH)
+            members = members.subtract(old)
+        overwrite_partitions(_numbered(members, number), path, (BATCH,))
 
 
 def _declare_empty(tables: Lakehouse, threshold: int) -> None:
