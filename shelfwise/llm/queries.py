@@ -157,6 +157,56 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+_OP4 = r"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), newest AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM newest
+"""
+
+# Line sets joined on words of their prefixes; each set is told by its first place and those of similar sets.
+_OP7 = r"""
+WITH parts AS MATERIALIZED (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+    FROM documents WHERE text IS NOT NULL
+), worded AS MATERIALIZED (
+    SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '[ 	-]+'), lambda w : w <> ''))) AS ws FROM parts
+), sets AS MATERIALIZED (
+    SELECT ws, len(ws) AS n, row_number() OVER () AS id, min((doc_id, no)) AS first FROM worded WHERE len(ws) > 0 GROUP BY ws
+), tokens AS (
+    SELECT id, n, unnest(ws) AS w FROM sets
+), ranked AS (
+    SELECT id, n, w, row_number() OVER (PARTITION BY id ORDER BY f, w) AS place
+    FROM tokens JOIN (SELECT w, count(*) AS f FROM tokens GROUP BY w) USING (w)
+), prefixes AS (
+    SELECT * FROM ranked WHERE place <= n - (n * 80 + 99) // 100 + 1
+), pairs AS (
+    SELECT DISTINCT x.id AS a, y.id AS b FROM prefixes x JOIN prefixes y
+      ON x.w = y.w AND x.id <> y.id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+), shared AS (
+    SELECT a, s.n + t.n AS both_n, len(list_intersect(s.ws, t.ws)) AS common, t.first
+    FROM pairs JOIN sets s ON s.id = a JOIN sets t ON t.id = b
+), earlier AS (
+    SELECT a AS id, min(first) AS first FROM shared WHERE 100 * common >= 80 * (both_n - common) GROUP BY a
+), decided AS (
+    SELECT worded.doc_id, worded.no, worded.line,
+           coalesce(least(sets.first, coalesce(earlier.first, sets.first)) < (worded.doc_id, worded.no), false) AS gone
+    FROM worded LEFT JOIN sets USING (ws) LEFT JOIN earlier USING (id)
+), freed AS (
+    SELECT doc_id, count(*)::INTEGER AS lines, count(*) FILTER (gone)::INTEGER AS removed_lines,
+           coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text
+    FROM decided GROUP BY doc_id
+)
+SELECT documents.doc_id, coalesce(lines, 0) AS lines, coalesce(removed_lines, 0) AS removed_lines,
+       CASE WHEN documents.text IS NOT NULL THEN freed.text END AS text
+FROM documents LEFT JOIN freed USING (doc_id)
+"""
+
 _OP6 = r"""
 WITH digests AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
@@ -270,7 +320,9 @@ QUALIFY rank <= 2000
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": _OP2,
+    "op4_warc": _OP4,
     "op6_exact_dedup": _OP6,
+    "op7_line_dedup": _OP7,
     "op11_spelling_variants": _OP11,
     "op12_url_filters": _OP12,
     "op13_collocations": _OP13,
