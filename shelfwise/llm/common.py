@@ -44,7 +44,8 @@ def settled(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the shared checkpoint folder, with a short lineage.
 
     Uses the folder of ``spark.checkpoint.dir``; only a local session without it gets
-    a folder of its own. The files go when the last reference to the rows goes.
+    a folder of its own. The files stay until the folder's owner removes them, or, with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` on, until the last reference to the rows is collected.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -54,7 +55,10 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written as Parquet below the shared folder and read back: columns can be pruned."""
+    """The rows, written as Parquet below the shared folder and read back: columns can be pruned.
+
+    Results may be read from there after an operator returns, so its files are the folder's owner's to remove.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     with _without_old_shuffles(spark):

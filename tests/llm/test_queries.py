@@ -77,6 +77,25 @@ COLUMNS = {
         "score": "double",
     },
     "op10_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_spelling_variants": {
+        "word": "string",
+        "form": "string",
+        "root": "string",
+        "n": "bigint",
+        "n_near": "bigint",
+        "form_n": "bigint",
+    },
+    "op12_url_filters": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    "op13_collocations": {
+        "lang": "string",
+        "rank": "bigint",
+        "phrase": "string",
+        "a": "bigint",
+        "l": "bigint",
+        "r": "bigint",
+        "n": "bigint",
+        "score": "bigint",
+    },
 }
 
 
@@ -115,7 +134,7 @@ def test_pipeline(spark):
 def test_pipeline_stages_take_odd_and_empty_tables(spark):
     from tests.llm.helpers import documents, odd_documents, with_clashes
 
-    clashing = with_clashes(odd_documents(spark).where("text IS NULL OR length(text) < 1000"), "hits", "removed_lines", "digest", "label")
+    clashing = with_clashes(odd_documents(spark), "hits", "removed_lines", "digest", "label")
     for docs in (documents(spark, []), clashing):
         rows = docs
         for _, stage in corpus_pipeline.STAGES:
