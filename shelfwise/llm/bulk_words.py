@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are cut at once; some twenty times as much memory is used meanwhile.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
