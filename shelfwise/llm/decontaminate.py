@@ -1,15 +1,19 @@
 """Benchmark decontamination: training windows looked up in a broadcast set of test n-grams.
 
-The benchmark's windows are found by Spark, then sent to every task in blocks of bounded
-size. A task gives each word of a document its number in the block's vocabulary, or 0,
-hashes the windows that hold known words only, looks the hashes up, and verifies each hit
-word by word. One block needs one pass over the documents; further blocks take further
-passes that add to the first one's hits.
+The benchmark's windows are found and numbered by Spark, then sent to every task in blocks
+bounded by their number and their bytes. A task gives each word of a document its number in
+the block's vocabulary, or 0, hashes the windows that hold known words only, looks the hashes
+up, and verifies each hit word by word. What comes back are hit words and the numbers of hit
+windows; which items have a window stays a table, which Spark joins to the distinct sets of
+numbers. So a passage that very many items share is sent once and costs no larger block.
+
+One block needs one pass over the documents. Further blocks read the documents again, and
+only digests of texts with their hits are kept between them, never the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +25,9 @@ from pyspark.sql import types as T
 from shelfwise.llm.common import LOWER, UPPER, settled, unused
 
 WINDOW = 10
-# Windows in one broadcast block: about 200 MB at ten words each.
+# Windows in one broadcast block, and bytes of their words: about 200 MB at ten words each.
 BLOCK_WINDOWS = 500_000
+BLOCK_BYTES = 64 << 20
 
 # Letters, digits and every byte above ASCII make words; A-Z become lower case.
 _WORD_BYTES = bytes(
@@ -33,10 +38,10 @@ _HITS = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.IntegerType())),
-        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("windows", T.ArrayType(T.LongType())),
     ]
 )
-_HITS_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+_HITS_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("windows", pa.list_(pa.int64()))])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,40 +55,37 @@ def words(text: Column) -> Column:
 def windows(
     benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW, nameless: bool = False
 ) -> DataFrame:
-    """Distinct windows of the benchmark with the items they come from: ``window, items``.
+    """Distinct windows of each item of the benchmark: ``item, window``.
 
     An item of fewer words is one window; one without words has none. Items without a
-    key are left out, or with ``nameless`` stand as one null at the end of the items.
+    key are left out, or with ``nameless`` stand as one item whose name is null.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
-    named = F.sort_array(F.collect_set("item"))
-    unnamed = F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array())
     return (
         benchmark.where(F.col(key).isNotNull() | F.lit(nameless))
         .select(F.col(key).cast("string").alias("item"), words(F.col(text)).alias("w"))
         .where(F.size("w") > 0)
         .select("item", "w", F.explode(starts).alias("start"))
         .select("item", F.slice("w", F.col("start"), F.lit(size)).alias("window"))
-        .groupBy("window")
-        .agg(F.concat(named, unnamed).alias("items"))
+        .distinct()
     )
 
 
 class _Block:
-    """A set of windows: vocabulary, and by length sorted hashes with the windows they stand for."""
+    """Numbered windows: vocabulary, and by length sorted hashes with the windows they stand for."""
 
-    def __init__(self, rows: list[tuple[list[str], list[str]]]):
+    def __init__(self, rows: Iterable[tuple[list[str], int]]):
         self.vocabulary: dict[bytes, int] = {}
-        by_length: dict[int, list[tuple[list[int], list[str]]]] = {}
-        for window, items in rows:
+        by_length: dict[int, list[tuple[list[int], int]]] = {}
+        for window, number in rows:
             ids = [self.vocabulary.setdefault(w.encode(), len(self.vocabulary) + 1) for w in window]
-            by_length.setdefault(len(ids), []).append((ids, items))
-        self.lengths: dict[int, tuple[np.ndarray, np.ndarray, list[list[str]]]] = {}
+            by_length.setdefault(len(ids), []).append((ids, number))
+        self.lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for length, found in by_length.items():
             ids = np.array([x[0] for x in found], dtype=np.uint32)
             hashes = _hashes(ids.reshape(-1), np.arange(len(ids)) * length, length)
             order = np.argsort(hashes, kind="stable")
-            self.lengths[length] = hashes[order], ids[order], [found[i][1] for i in order]
+            self.lengths[length] = hashes[order], ids[order], np.array([x[1] for x in found], dtype=np.int64)[order]
 
 
 def _hashes(ids: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -94,10 +96,10 @@ def _hashes(ids: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
-def _matches(ids: np.ndarray, block: _Block) -> Iterator[tuple[int, int, list[str]]]:
-    """Start, length and items of each window of the block that occurs."""
+def _matches(ids: np.ndarray, block: _Block) -> Iterator[tuple[int, int, int]]:
+    """Start, length and number of each window of the block that occurs."""
     unknown = np.concatenate(([0], np.cumsum(ids == 0)))
-    for length, (hashes, known, items) in block.lengths.items():
+    for length, (hashes, known, numbers) in block.lengths.items():
         if len(ids) < length:
             continue
         starts = np.flatnonzero(unknown[length:] == unknown[:-length])
@@ -112,49 +114,105 @@ def _matches(ids: np.ndarray, block: _Block) -> Iterator[tuple[int, int, list[st
                 if hashes[i] != hashes[first]:
                     break
                 if np.array_equal(known[i], ids[start : start + length]):
-                    yield start, length, items[i]
+                    yield start, length, int(numbers[i])
                     break
 
 
-def _scan(held: Broadcast, column: str, hits: str, first: bool):
-    """Adds a block's hits to the hit words and items found so far."""
+def _scan(held: Broadcast, column: str, hits: str, keep: list[str]):
+    """The kept columns, and the hits of a block's windows."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = held.value
         number = block.vocabulary.get
         for part in parts:
-            found_so_far = [None] * part.num_rows if first else part.column(hits).to_pylist()
             rows = []
-            for raw, before in zip(part.column(column).cast(pa.binary()), found_so_far, strict=True):
+            for raw in part.column(column).cast(pa.binary()):
                 found = (raw.as_py() or b"").translate(_WORD_BYTES).split()
                 ids = np.fromiter((number(w, 0) for w in found), dtype=np.uint32, count=len(found))
                 edges = np.zeros(len(found) + 1, dtype=np.int32)
-                items = set(before["items"]) if before else set()
-                for start, stop in pairs(before["spans"]) if before else ():
-                    edges[start] += 1
-                    edges[stop] -= 1
-                for start, length, of in _matches(ids, block):
+                numbers = set()
+                for start, length, window in _matches(ids, block):
                     edges[start] += 1
                     edges[start + length] -= 1
-                    items.update(of)
+                    numbers.add(window)
                 covered = np.concatenate(([0], (np.cumsum(edges) > 0).astype(np.int8)))
-                names = sorted(items - {None}) + [None] * (None in items)
-                rows.append({"n_words": len(found), "spans": np.flatnonzero(np.diff(covered)).tolist(), "items": names})
-            kept = [name for name in part.schema.names if first or name != hits]
-            fields = [part.schema.field(name) for name in kept]
+                rows.append({"n_words": len(found), "spans": np.flatnonzero(np.diff(covered)).tolist(), "windows": sorted(numbers)})
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(name) for name in kept], pa.array(rows, _HITS_ARROW)],
-                schema=pa.schema([*fields, (hits, _HITS_ARROW)]),
+                [*[part.column(name) for name in keep], pa.array(rows, _HITS_ARROW)],
+                schema=pa.schema([*[part.schema.field(name) for name in keep], (hits, _HITS_ARROW)]),
             )
 
     return run
 
 
+def _merge(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One text's hits in several blocks as one: ``print, hits`` from ``print, found``."""
+    for part in parts:
+        rows = []
+        for found in part.column("found").to_pylist():
+            flat: list[int] = []
+            for start, stop in sorted(span for h in found for span in pairs(h["spans"])):
+                if flat and start <= flat[-1]:
+                    flat[-1] = max(flat[-1], stop)
+                else:
+                    flat += [start, stop]
+            rows.append({"n_words": found[0]["n_words"], "spans": flat, "windows": sorted(w for h in found for w in h["windows"])})
+        yield pa.RecordBatch.from_arrays([part.column("print"), pa.array(rows, _HITS_ARROW)], names=["print", "hits"])
+
+
 def pairs(bounds: list[int]) -> list[tuple[int, int]]:
     """Starts and stops, alternating, as pairs."""
     return list(zip(bounds[::2], bounds[1::2], strict=True))
 
 
+def _numbered(members: DataFrame) -> DataFrame:
+    """Each distinct window under a number: ``number, window``."""
+    return settled(members.select("window").distinct().select(F.monotonically_increasing_id().alias("number"), "window"))
+
+
+def _blocks(grams: DataFrame, block_windows: int, block_bytes: int) -> list[Column]:
+    """Conditions that part the windows into blocks of about these sizes at most."""
+    length = F.aggregate("window", F.lit(0).cast("bigint"), lambda a, w: a + F.octet_length(w))
+    count, size = grams.agg(F.count(F.lit(1)), F.coalesce(F.sum(length), F.lit(0))).first()
+    blocks = max(1, -(-count // block_windows), -(-size // block_bytes))
+    part = F.pmod(F.xxhash64("window"), F.lit(blocks))
+    return [part == k for k in range(blocks)]
+
+
+def _hold(grams: DataFrame, block: Column) -> Broadcast:
+    rows = grams.where(block).select("window", "number").toLocalIterator()
+    return grams.sparkSession.sparkContext.broadcast(_Block((r["window"], r["number"]) for r in rows))
+
+
+def _marked(docs: DataFrame, grams: DataFrame, blocks: list[Column], text: str, hits: str, keep: list[str]) -> DataFrame:
+    """The kept columns and ``hits``: one pass for one block, else hits of distinct texts, joined to them by a digest."""
+    added = T.StructField(hits, _HITS)
+    if len(blocks) == 1:
+        schema = T.StructType([*[docs.schema[name] for name in keep], added])
+        return docs.mapInArrow(_scan(_hold(grams, blocks[0]), text, hits, keep), schema)
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    texts = docs.select(digest.alias("print"), F.col(text).alias("text"))
+    found = []
+    for k, block in enumerate(blocks):
+        held = _hold(grams, block)
+        rows = texts.mapInArrow(_scan(held, "text", "hits", ["print"]), T.StructType([texts.schema["print"], T.StructField("hits", _HITS)]))
+        # The first block tells of every text how many words it has.
+        rows = rows.where((F.size("hits.spans") > 0) | F.lit(k == 0))
+        found.append(settled(rows.groupBy("print").agg(F.min("hits").alias("hits"))))
+        held.destroy()
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    mark = unused(docs, "print")
+    merged = (
+        every.groupBy("print")
+        .agg(F.collect_list("hits").alias("found"))
+        .mapInArrow(_merge, T.StructType([texts.schema["print"], T.StructField("hits", _HITS)]))
+        .select(F.col("print").alias(mark), F.col("hits").alias(hits))
+    )
+    return docs.select(*keep, digest.alias(mark)).join(merged, mark).select(*keep, hits)
+
+
 def find_hits(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -163,31 +221,24 @@ def find_hits(
     item_text: str = "text",
     size: int = WINDOW,
     block_windows: int = BLOCK_WINDOWS,
+    block_bytes: int = BLOCK_BYTES,
     hits: str = "hits",
     nameless: bool = False,
 ) -> DataFrame:
-    """The documents with a struct ``hits`` of ``n_words, spans, items`` added.
+    """The documents with a struct ``hits`` of ``n_words, spans, windows`` added.
 
     ``spans`` holds start and stop, in words, of each hit stretch, one after the other;
-    ``items`` the sorted items with a window in the document; with ``nameless``, windows of
-    items without a key hit too, and all such items are one null at its end. Null and empty
-    texts have no words and no hit; an empty table gives no row. Every benchmark window is
-    used, ``block_windows`` of them at a time. ``hits`` must be a new name.
+    ``windows`` the sorted numbers of the benchmark's windows in the document, which hold
+    for this result alone; with ``nameless``, windows of items without a key hit too. Null
+    and empty texts have no words and no hit; rows with the same text, and repeated rows,
+    have the same hits; an empty table gives no row. Every benchmark window is used,
+    ``block_windows`` of them, and about ``block_bytes`` of their words, at a time.
+    ``hits`` must be a new name.
     """
     if hits in docs.columns:
         raise ValueError(f"{hits} is a column of the documents; name another for the hits")
-    grams = settled(windows(benchmark, item, item_text, size, nameless))
-    blocks = max(1, -(-grams.count() // block_windows))
-    part = F.pmod(F.xxhash64("window"), F.lit(blocks))
-    schema = T.StructType([*docs.schema.fields, T.StructField(hits, _HITS)])
-    out = docs
-    for k in range(blocks):
-        rows = [(r["window"], r["items"]) for r in grams.where(part == k).toLocalIterator()]
-        held = docs.sparkSession.sparkContext.broadcast(_Block(rows))
-        out = out.mapInArrow(_scan(held, text, hits, first=k == 0), schema)
-        if k < blocks - 1:
-            out = settled(out)
-    return out
+    grams = _numbered(windows(benchmark, item, item_text, size, nameless))
+    return _marked(docs, grams, _blocks(grams, block_windows, block_bytes), text, hits, docs.columns)
 
 
 def hit_words(spans: Column) -> Column:
@@ -227,8 +278,9 @@ def decontaminate(
 
     ``remove="documents"`` drops each document with a hit word; ``remove="spans"`` keeps
     them all and cuts the hit stretches out of their text, from the first hit word's
-    first letter to the last one's last. Clean documents and null texts stay as they are.
-    A passage counts whether or not its item has a key.
+    first letter to the last one's last. Clean documents and null texts stay as they are,
+    each as often as it comes; an empty table stays one. A passage counts whether or not
+    its item has a key.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
@@ -239,18 +291,48 @@ def decontaminate(
     return marked.mapInArrow(_cut(text, hits), marked.schema).select(*docs.columns)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def contamination(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    size: int = WINDOW,
+    block_windows: int = BLOCK_WINDOWS,
+    block_bytes: int = BLOCK_BYTES,
+    nameless: bool = False,
+) -> DataFrame:
     """One row per document, repeated rows too: ``key, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     The digest is that of the sorted items, comma-joined; no item gives that of the empty text.
     With ``nameless``, items without a key count as one item, which the digest leaves out.
+    Other columns are not looked at, whatever their names; an empty table gives no row.
     """
-    found = find_hits(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), benchmark, **options)
-    return found.select(
-        F.col("key").alias(key),
-        F.col("hits.n_words").alias("n_words"),
-        hit_words(F.col("hits.spans")).alias("n_hit"),
-        F.size("hits.items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", "hits.items").cast("binary"), 256).alias("items_sha256"),
-        (F.size("hits.spans") > 0).alias("contaminated"),
+    members = settled(windows(benchmark, item, item_text, size, nameless))
+    grams = _numbered(members)
+    narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    marked = _marked(narrow, grams, _blocks(grams, block_windows, block_bytes), "text", "hits", ["key"])
+    marked = settled(marked.select("key", "hits.n_words", hit_words(F.col("hits.spans")).alias("n_hit"), "hits.windows"))
+    # Documents with the same windows have the same items, which are gathered once.
+    items = (
+        marked.where(F.size("windows") > 0)
+        .select("windows")
+        .distinct()
+        .select("windows", F.explode("windows").alias("number"))
+        .join(grams.join(members, "window").select("number", "item"), "number")
+        .groupBy("windows")
+        .agg(F.collect_set("item").alias("names"), F.max(F.col("item").isNull().cast("bigint")).alias("unnamed"))
+        .select(
+            "windows",
+            (F.size("names") + F.col("unnamed")).alias("n_items"),
+            F.sha2(F.array_join(F.array_sort("names"), ",").cast("binary"), 256).alias("items_sha256"),
+        )
+    )
+    dirty = marked.where(F.size("windows") > 0).join(items, "windows")
+    clean = marked.where(F.size("windows") == 0).select(
+        "*", F.lit(0).cast("bigint").alias("n_items"), F.sha2(F.lit("").cast("binary"), 256).alias("items_sha256")
+    )
+    return dirty.unionByName(clean).select(
+        F.col("key").alias(key), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated")
     )

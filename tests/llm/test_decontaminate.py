@@ -4,7 +4,7 @@ import re
 import duckdb
 import pytest
 
-from shelfwise.llm.decontaminate import contamination, decontaminate
+from shelfwise.llm.decontaminate import _Block, contamination, decontaminate, windows
 from shelfwise.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.helpers import bag, documents, odd_documents, with_clashes
 
@@ -15,6 +15,11 @@ def words(text):
     return WORD.findall((text or "").encode().lower())
 
 
+def grams_of(text, size=10):
+    w = words(text)
+    return [w[i : i + size] for i in range(max(1, len(w) - size + 1) if w else 0)]
+
+
 def brute(docs, items, size=10):
     windows = {}
     for item, text in items:
@@ -66,6 +71,27 @@ def test_equals_brute_force(spark, block):
     assert bag(got) == brute(DOCS, ITEMS)
 
 
+def test_blocks_are_bounded_by_bytes(spark):
+    docs = documents(spark, DOCS + DOCS[:2])
+    got = contamination(docs, items(spark), block_bytes=100)
+    assert bag(got) == brute(DOCS + DOCS[:2], ITEMS)
+    clean = [row[0] for row in brute(DOCS + DOCS[2:6], ITEMS) if not row[-1]]
+    left = decontaminate(with_clashes(documents(spark, DOCS + DOCS[2:6]), "print", "hits"), items(spark), block_bytes=100)
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(clean)
+    cut = decontaminate(docs, items(spark), remove="spans")
+    assert bag(decontaminate(docs, items(spark), remove="spans", block_windows=2)) == bag(cut)
+
+
+def test_passage_that_a_third_of_the_items_share(spark):
+    passage = "one two three four five six seven eight nine ten"
+    rows = [(i, f"{passage} and item {i}" if i % 3 == 0 else f"a text of item {i} alone, with no more than these words") for i in range(300)]
+    docs = [(k, f"before {passage} after {k % 2}") for k in range(30)] + [(99, "a text of item 1 alone, with no more than these words")]
+    assert bag(contamination(documents(spark, docs).repartition(4), items(spark, rows))) == brute(docs, rows)
+    block = _Block([(r["window"], k) for k, r in enumerate(windows(items(spark, rows)).select("window").distinct().collect())])
+    # The shared passage is held once, whatever the number of its items.
+    assert sum(len(numbers) for *_, numbers in block.lengths.values()) == len({tuple(w) for _, text in rows for w in grams_of(text)})
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
