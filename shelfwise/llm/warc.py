@@ -1,7 +1,9 @@
 """WARC archives as a Spark data source: deterministic shards, written and read by tasks.
 
 Rows are put into shards by ranges of the page id, then of a hash of the payload, and sorted
-in them. The ranges come from a sample chosen by hash, so the same pages give the same shards and the same bytes. A task
+in them. The ranges part the bytes of a sample chosen by hash, so the same pages give the same shards and the same bytes.
+Rows of one id and payload that are too many for a shard have shards of their own: rows that are equal
+altogether travel as one with a count, and both rows and counts are dealt over these shards. A task
 writes its shard as gzip members, one a record, and starts a new file once the compressed
 size passes the limit. Files are written under temporary names that no other attempt has;
 the driver renames the files of the attempts that Spark committed, and writes the manifest
@@ -25,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -36,6 +38,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from shelfwise.llm.common import settled
+
 # Equal payloads of this many bytes or more are kept once.
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
@@ -66,12 +70,12 @@ def _sha1(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_id(page_id: int | None, digest: str, nth: int) -> str:
+def record_id(page_id: int | None, digest: str, nth: int | str) -> str:
     """The same for the same page, payload and turn among its repeats."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}/{nth}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, nth: int) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, nth: int | str) -> bytes:
     """One archive record; a revisit has the headers of its response, and no payload."""
     digest = _sha1(payload)
     http = (
@@ -139,8 +143,16 @@ class _Rolling:
             self.files[-1]["sha256"] = self.digest.hexdigest()
 
 
+#: The columns of ``sorted_records``.
+_SORTED = ("shard", "page_id", "part", "tells", "digest", "refers_to", "url", "html", "lead", "start", "copies")
+
+
 class WarcWriter(DataSourceArrowWriter):
-    """Takes the rows of ``sorted_records``: those that tell a page's response come before the page."""
+    """Takes the rows of ``sorted_records``: those that tell a page's response come before the page.
+
+    A row with ``lead`` stands for ``copies`` equal pages, numbered from ``start``, and holds its response itself;
+    the first of them is the first of its page where ``lead`` is true.
+    """
 
     def __init__(self, path: str, roll: int):
         self.path, self.roll = path, roll
@@ -149,8 +161,15 @@ class WarcWriter(DataSourceArrowWriter):
         files = _Rolling(self.path, self.roll)
         at, responses, seen = object(), {}, {}
         for batch in iterator:
-            columns = [batch.column(n).to_pylist() for n in ("shard", "page_id", "part", "tells", "digest", "refers_to", "url", "html")]
-            for shard, page_id, part, tells, digest, refers_to, url, html in zip(*columns, strict=True):
+            columns = [batch.column(n).to_pylist() for n in _SORTED]
+            for shard, page_id, part, tells, digest, refers_to, url, html, lead, start, copies in zip(*columns, strict=True):
+                if lead is not None:
+                    payload = (html or "").encode()
+                    for k in range(start, start + copies):
+                        nth = 0 if lead and k == 0 else f"{'-' if url is None else '+' + url}#{k}"
+                        revisit = refers_to is not None and (refers_to != page_id or nth != 0)
+                        files.add(shard, _member(record(page_id, url, payload, refers_to, revisit, nth)))
+                    continue
                 if (page_id, part) != at:
                     at, responses, seen = (page_id, part), {}, {}
                 if tells:
@@ -291,26 +310,74 @@ class WarcSource(DataSource):
         return WarcWriter(self.options["path"], int(self.options.get("roll_bytes", ROLL_BYTES)))
 
 
-def _ranges(pages: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
-    """First page id and payload hash of the shards after the first, from distinct ones that a hash picks."""
-    size = F.coalesce(F.octet_length("html"), F.lit(0)) + 500
-    rows, total = pages.agg(F.count(F.lit(1)), F.sum(size)).first()
-    shards = max(1, -(-(total or 0) // shard_bytes))
+def _ranges(keys: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """First page id and payload hash of the shards after the first, so that keys that a hash picks have as many bytes in each."""
+    rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    shards = max(1, -(-total // shard_bytes))
     every = max(1, rows // RANGE_SAMPLE)
-    keys = pages.select(F.coalesce("page_id", F.lit(_LEAST)).alias("page_id"), "part")
-    picked = keys.where(F.pmod(F.xxhash64("page_id", "part"), F.lit(every)) == 0).distinct()
-    found = sorted((r["page_id"], r["part"]) for r in picked.collect())
-    return sorted({found[len(found) * k // shards] for k in range(1, shards)}) if found else []
+    own = F.coalesce("page_id", F.lit(_LEAST)).alias("page_id")
+    picked = keys.select(own, "part", "bytes").where(F.pmod(F.xxhash64("page_id", "part"), F.lit(every)) == 0)
+    found = sorted((r["page_id"], r["part"], r["bytes"]) for r in picked.collect())
+    before = np.cumsum([0, *(size for *_, size in found)])
+    # A shard begins with the first key that has its share of the bytes before it.
+    first = np.searchsorted(before[:-1], [before[-1] * k // shards for k in range(1, shards)]).tolist()
+    return sorted({found[i][:2] for i in first if i < len(found)})
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256))
+
+
+def _same_key(left: str, right: str) -> Column:
+    return F.col(f"{left}.page_id").eqNullSafe(F.col(f"{right}.page_id")) & (F.col(f"{left}.part") == F.col(f"{right}.part"))
+
+
+def _dealt(pages: DataFrame, hot: DataFrame, groups: DataFrame, shards: int) -> DataFrame:
+    """The rows of hot ids and payloads, equal ones as one, in shards numbered from ``shards``."""
+    warm = (
+        pages.alias("p")
+        .join(hot.alias("h"), _same_key("p", "h"))
+        .groupBy("p.page_id", "p.part", "url", "html", "per", "chunks", "before")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("digest", _digest())
+    )
+    # Of all rows of a page and payload, one is the first.
+    leads = (
+        warm.groupBy("page_id", "part", "digest")
+        .agg(F.min(F.struct(F.xxhash64("url").alias("h"), "url")).alias("first"))
+        .join(groups, "digest", "left")
+        .withColumnRenamed("digest", "of")
+    )
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("w.n") - 1, F.col("per"))).alias("start")
+    chunk = F.pmod(F.xxhash64("url") + F.floor(F.col("start") / F.col("per")), F.col("chunks"))
+    return (
+        warm.alias("w")
+        .join(leads.alias("l"), _same_key("w", "l") & (F.col("w.digest") == F.col("l.of")))
+        .select("w.*", "refers_to", F.col("url").eqNullSafe(F.col("first.url")).alias("lead"), pieces)
+        .withColumns(
+            {
+                "shard": (F.lit(shards) + F.col("before") + chunk).cast("int"),
+                "tells": F.lit(False),
+                "copies": F.least(F.col("per"), F.col("n") - F.col("start")),
+            }
+        )
+        .select(*_SORTED)
+    )
 
 
 def sorted_records(pages: DataFrame, shard_bytes: int, revisit_bytes: int) -> DataFrame:
     """The pages in shards, sorted by id and a hash of the payload; before pages whose payload has copies a row tells the response.
 
-    Only ids and digests are grouped. The pages themselves are shuffled once. Many pages
-    of one id, or without one, are dealt to shards by their payloads.
+    Only ids and digests are grouped. The pages themselves are shuffled once, but for those of
+    one id and payload with more bytes than a shard: equal ones of these are merged first, and a row stands for ``copies``.
     """
     pages = pages.withColumn("part", F.xxhash64(F.coalesce("html", F.lit(""))))
-    cuts = _ranges(pages, shard_bytes)
+    size = F.octet_length("html")
+    keys = settled(
+        pages.groupBy("page_id", "part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(size, F.lit(0)) + 500).alias("bytes"))
+    )
+    is_hot = (F.col("n") > 1) & (F.col("bytes") > shard_bytes)
+    cuts = _ranges(keys.where(~is_hot), shard_bytes)
     first = np.array([page_id for page_id, _ in cuts], dtype=np.int64)
 
     @F.pandas_udf("int")
@@ -321,27 +388,35 @@ def sorted_records(pages: DataFrame, shard_bytes: int, revisit_bytes: int) -> Da
             out[i] = bisect_right(cuts, (int(ids[i]), int(parts.iloc[i])))
         return pd.Series(out)
 
-    size = F.octet_length("html")
-    digests = pages.where(size >= revisit_bytes).select(
-        "page_id", "part", F.unhex(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")
-    )
+    # At most one for each shard's bytes.
+    per = F.greatest(F.lit(1).cast("bigint"), F.floor(shard_bytes * F.col("n") / F.col("bytes")))
+    hot = keys.where(is_hot).withColumn("per", per).withColumn("chunks", F.ceil(F.col("n") / F.col("per")))
+    before = F.sum("chunks").over(Window.orderBy("page_id", "part")) - F.col("chunks")
+    hot = settled(hot.select("page_id", "part", "per", "chunks", before.alias("before")))
+    more = hot.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0]
+    cold = pages.alias("p").join(hot.alias("h"), _same_key("p", "h"), "left_anti") if more else pages
+
+    large = pages.where(size >= revisit_bytes).select("page_id", "part", _digest().alias("digest"))
     groups = (
-        digests.groupBy("digest")
+        large.groupBy("digest")
         .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
         .where("n > 1 AND refers_to IS NOT NULL")
         .drop("n")
     )
-    tells = digests.join(groups, "digest").select(
+    none = {"lead": F.lit(None).cast("boolean"), "start": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")}
+    tells = cold.where(size >= revisit_bytes).select("page_id", "part", _digest().alias("digest")).join(groups, "digest").select(
         "page_id", "part", F.lit(True).alias("tells"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")
     )
-    rows = pages.select(
+    rows = cold.select(
         "page_id", "part", F.lit(False).alias("tells"), F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("bigint").alias("refers_to"), "url", "html"
     )
-    return (
-        tells.unionByName(rows)
-        .withColumn("shard", shard(F.coalesce("page_id", F.lit(_LEAST)), "part"))
-        .repartitionById(len(cuts) + 1, F.col("shard"))
-        .sortWithinPartitions("shard", "page_id", "part", F.col("tells").desc(), F.xxhash64("url", "html"))
+    every = (
+        tells.unionByName(rows).withColumn("shard", shard(F.coalesce("page_id", F.lit(_LEAST)), "part")).withColumns(none).select(*_SORTED)
+    )
+    if more:
+        every = every.unionByName(_dealt(pages, hot, groups, len(cuts) + 1))
+    return every.repartitionById(len(cuts) + 1 + more, F.col("shard")).sortWithinPartitions(
+        "shard", "page_id", "part", F.col("tells").desc(), F.xxhash64("url", "html"), "start"
     )
 
 

@@ -90,6 +90,26 @@ def test_pages_of_one_id_go_to_many_shards(spark, tmp_path):
     assert found(spark, str(tmp_path / "warc")) == brute(rows)
 
 
+def test_a_third_of_the_pages_equal_in_id_and_payload(spark, tmp_path):
+    text = "<p>same</p>" * 100
+    hot = [(key, "http://a.example/hot", text) for key in (None, 70) for _ in range(150)]
+    hot += [(70, f"http://a.example/{i}", text) for i in range(150)] + [(70, None, text)] * 60 + [(8, "http://a.example/s", "short")] * 200
+    rows = hot + [(100 + i, f"http://a.example/{i}", f"<i>{i}</i>" * (40 + i % 90)) for i in range(300)] + [(60, None, text)] * 3
+    for name, parts in (("a", 3), ("b", 5)):
+        write_warc(pages(spark, rows).repartition(parts), str(tmp_path / name), shard_bytes=30_000, roll_bytes=8000)
+        assert found(spark, str(tmp_path / name)) == brute(rows)
+    first, second = (json.loads((tmp_path / n / MANIFEST).read_text()) for n in "ab")
+    assert first == second
+    by_shard, ids = {}, []
+    for file in first["files"]:
+        by_shard[file["name"][:6]] = by_shard.get(file["name"][:6], 0) + file["records"]
+        with open(tmp_path / "a" / file["name"], "rb") as source:
+            ids += [line for m in members(source) for line in m.split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    # A shard has room for 18 of the hot rows with the large payload, and 59 with the small one.
+    assert max(by_shard.values()) < 70 and len(by_shard) > 25
+    assert len(ids) == len(set(ids)) == len(rows)
+
+
 def test_only_committed_files_are_read(spark, tmp_path):
     path = tmp_path / "warc"
     write_warc(pages(spark), str(path))
