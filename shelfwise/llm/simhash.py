@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import ASCII_LOWER, settled, unused, utf8
+from shelfwise.llm.common import ASCII_LOWER, settled, unused, utf8, written
 from shelfwise.llm.components import components
 
 SHINGLE = 3
@@ -254,11 +254,12 @@ def drop_near_copies(
     counted = marked.select("key", F.lit(1).alias("n"), F.lit(False).alias("chosen"))
     counted = counted.unionByName(chosen.select("key", F.lit(0).alias("n"), F.lit(True).alias("chosen")))
     by_key = counted.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n"), F.max("chosen").alias("chosen"))
-    names = settled(by_key.where("chosen").select(F.col("key").alias(key), (F.col("n") > 1).alias("shared")))
+    # Most documents stay. The other keys are written, so that Spark knows their size: if they are few, no text is shuffled.
+    others = written(by_key.where("NOT chosen OR n > 1").select(F.col("key").alias(key), F.col("chosen").alias("shared")), "near-copies")
     keyed = docs.where(F.col(key).isNotNull())
-    alone = keyed.join(names.where("NOT shared").select(key), key, "left_semi").select(*docs.columns)
+    alone = keyed.join(others.select(key), key, "left_anti").select(*docs.columns)
     rest = docs.where(F.col(key).isNull())
-    repeated = names.where("shared").select(key)
+    repeated = others.where("shared").select(key)
     if not repeated.isEmpty():
         rest = rest.unionByName(keyed.join(repeated, key, "left_semi").select(*docs.columns))
     marks = unused(docs, "fingerprint")
