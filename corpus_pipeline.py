@@ -23,9 +23,9 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found, however close the next one; the model learns from those whose language is given."""
+    """Documents in one of the languages, however close the next one; the model learns from those whose language is given."""
     model = train_language(docs.where(bucket("doc_id", 4) != 2).select("text", "lang"))
-    return keep_identified(docs, model, min_score=0.0)
+    return keep_identified(docs, model, together=True)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

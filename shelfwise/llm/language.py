@@ -260,20 +260,27 @@ def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.slice(at, _ROWS)
 
 
+def _shares(scorer: Scorer | None, texts: list[str | None]) -> tuple[list[int], np.ndarray]:
+    """The places of the texts with a letter, and each language's share in the sum of all languages' probabilities of them."""
+    at = [i for i, text in enumerate(texts) if has_letter(text)] if scorer is not None else []
+    if not at:
+        return at, np.empty((0, 0))
+    logs = scorer.texts([texts[i].encode() for i in at])
+    shares = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return at, shares / shares.sum(axis=1, keepdims=True)
+
+
 def _identify(held: Broadcast):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         scorer = Scorer(model) if model.languages else None
         for part in _slices(parts):
             texts = part.column("text").to_pylist()
-            lettered = [has_letter(t) and scorer is not None for t in texts]
             names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-            at = [i for i, yes in enumerate(lettered) if yes]
+            at, shares = _shares(scorer, texts)
             if at:
-                logs = scorer.texts([texts[i].encode() for i in at])
-                best = logs.argmax(axis=1)
-                share = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-                for i, b, s in zip(at, best.tolist(), share.tolist(), strict=True):
+                best = shares.argmax(axis=1)
+                for i, b, s in zip(at, best.tolist(), shares.max(axis=1).tolist(), strict=True):
                     names[i], scores[i] = model.languages[b], s
             kept = [c for c in part.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
@@ -301,28 +308,39 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     )
 
 
-def _accept(held: Broadcast, column: str, least: float):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
+def _with_unlearned(model: LanguageModel) -> LanguageModel:
+    """With a language of which nothing was seen: there all pieces are equally likely."""
+    if not model.languages:
+        return model
+    unseen = np.full((len(model.table), 1), 1.0 / len(model.table))
+    return LanguageModel((*model.languages, UNDETERMINED), model.path, np.hstack([model.table, unseen]))
 
-        def texts() -> Iterator[pa.RecordBatch]:
-            for part in _slices(parts):
-                waiting.append(part)
-                yield pa.RecordBatch.from_arrays([part.column(column)], names=["text"])
 
-        for found in _identify(held)(texts()):
-            part = waiting.pop(0)
-            names, scores = found.column("lang_pred").to_pylist(), found.column("score").to_pylist()
-            kept = [n != UNDETERMINED and s >= least for n, s in zip(names, scores, strict=True)]
-            yield part.filter(pa.array(kept, pa.bool_()))
+def _accept(held: Broadcast, column: str, least: float, together: bool):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        scorer = Scorer(model) if model.languages else None
+        learned = np.array([name != UNDETERMINED for name in model.languages], dtype=bool)
+        for part in _slices(parts):
+            at, shares = _shares(scorer, part.column(column).to_pylist())
+            kept = np.zeros(part.num_rows, dtype=bool)
+            if at:
+                score = shares[:, learned].sum(axis=1) if together else shares.max(axis=1)
+                kept[at] = (score >= least) & (together | learned[shares.argmax(axis=1)])
+            yield part.filter(pa.array(kept))
 
     return run
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, text: str = "text", min_score: float = MIN_SCORE, together: bool = False
+) -> DataFrame:
     """The documents whose language is found with at least ``min_score``, columns unchanged.
 
-    Null texts and texts without a letter go.
+    The score is that of ``identify``. With ``together`` it is the share of all languages
+    together, beside one of which nothing was seen: a text in any of them stays, however
+    close the next one, and a text goes if its pieces are mostly ones that none of them
+    uses. Null texts and texts without a letter go.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_accept(held, text, min_score), docs.schema)
+    held = docs.sparkSession.sparkContext.broadcast(_with_unlearned(model) if together else model)
+    return docs.mapInArrow(_accept(held, text, min_score, together), docs.schema)

@@ -143,6 +143,14 @@ def test_the_stage_keeps_texts_in_close_languages(spark):
     assert kept == {*range(120), 202}
 
 
+def test_the_stage_drops_texts_in_no_learned_language(spark):
+    learned = ["the house is old and the door is open", "das Haus ist alt und die Tür ist offen"]
+    rows = [(i, learned[i % 2], ("en", "de")[i % 2]) for i in range(120)]
+    rows += [(200, "the old door", None), (201, "die alte Tür", None), (202, "Η πόρτα είναι ανοιχτή και το σπίτι παλιό", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {r["doc_id"] for r in language_id(spark, docs, "").collect()} == {*range(120), 200, 201}
+
+
 def test_held_out_accuracy(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     held_out = bucket("doc_id", 4) == 2
