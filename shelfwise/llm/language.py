@@ -146,6 +146,31 @@ def train_language(labelled: DataFrame, path: str = VOCABULARY) -> LanguageModel
     return LanguageModel(languages, path, table / table.sum(axis=0, keepdims=True))
 
 
+def _trie(pieces: list[bytes], code: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """By node and byte the next node, and by node the piece that ends there or -1; node 0: no piece goes on, node 1: the root.
+
+    All pieces go down one byte at a time, so that no task holds a dictionary for each node.
+    """
+    size = np.array([len(p) for p in pieces])
+    first = np.concatenate(([0], np.cumsum(size)))
+    codes = code[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    at, alive = np.ones(len(pieces), dtype=np.int64), np.arange(len(pieces))
+    edges, nodes, depth = [], 2, 0
+    while len(alive):
+        found, below = np.unique(at[alive] * width + codes[first[alive] + depth], return_inverse=True)
+        edges.append(found)
+        at[alive] = nodes + below
+        nodes += len(found)
+        depth += 1
+        alive = alive[size[alive] > depth]
+    step = np.concatenate(edges)
+    table = np.zeros((nodes, width), dtype=np.int32)
+    table[step // width, step % width] = np.arange(2, nodes)
+    end = np.full(nodes, -1, dtype=np.int32)
+    end[at] = np.arange(len(pieces))
+    return table, end
+
+
 class Scorer:
     """The forward algorithm over a trie of the pieces."""
 
@@ -157,26 +182,10 @@ class Scorer:
         self.code = np.zeros(256, dtype=np.int64)
         used = sorted({b for p in pieces for b in p})
         self.code[used] = np.arange(len(used))
-        children: list[dict[int, int]] = [{}, {}]  # node 0: no piece goes on; node 1: the root
-        ends = [-1, -1]
-        for k, piece in enumerate(pieces):
-            node = 1
-            for b in piece:
-                below = children[node].get(b)
-                if below is None:
-                    below = children[node][b] = len(children)
-                    children.append({})
-                    ends.append(-1)
-                node = below
-            ends[node] = k
-        self.next = np.zeros((len(children), len(used)), dtype=np.int32)
-        for node, below in enumerate(children):
-            for b, to in below.items():
-                self.next[node, self.code[b]] = to
+        self.next, self.end = _trie(pieces, self.code, len(used))
         # The last row: no piece ends here.
         self.probability = np.vstack([model.table, np.zeros((1, len(model.languages)))])
         self.logarithm = np.log(model.table)
-        self.end = np.array(ends, dtype=np.int32)
 
     def _together(self, words: list[bytes]) -> np.ndarray:
         """Log-probabilities of words of equal length, a space put before each."""

@@ -151,6 +151,16 @@ def test_the_stage_drops_texts_in_no_learned_language(spark):
     assert {r["doc_id"] for r in language_id(spark, docs, "").collect()} == {*range(120), 200, 201}
 
 
+def test_trie(model):
+    scorer = Scorer(model)
+    for k, piece in enumerate(model.pieces()):
+        node = 1
+        for b in piece:
+            node = scorer.next[node, scorer.code[b]]
+        assert node > 1 and scorer.end[node] == k
+    assert (scorer.end >= 0).sum() == len(model.pieces()) and not scorer.next[0].any()
+
+
 def test_held_out_accuracy(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     held_out = bucket("doc_id", 4) == 2
