@@ -70,6 +70,14 @@ def test_other_similarities(spark, similarity):
     assert found(dedup_lines(documents(spark, rows), similarity=similarity)) == brute(rows, similarity)
 
 
+def test_blanks_of_all_kinds(spark):
+    """Lines with single blanks only are parted by another way than the rest."""
+    base = [f"w{i}" for i in range(10)]
+    rows = [(i, blank.join(base) + f"{blank}own\n{blank}{blank}Ä{i}{blank} ") for i, blank in enumerate([" ", "\t", "\v", "\f", "\r", "  ", " \t"])]
+    rows += [(9, "w0\u00a0" + " ".join(base[1:])), (10, " \n\t\n w1 \n\nw1")]
+    assert found(dedup_lines(documents(spark, rows))) == brute(rows)
+
+
 def test_a_large_family(spark):
     base = [f"w{i}" for i in range(30)]
     rows = [(i, " ".join(base[:15] + [f"u{i}"] + base[15:]) + "\ncommon closing line of all\nown " + str(i)) for i in range(150)]
