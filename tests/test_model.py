@@ -27,6 +27,12 @@ def newton(points, c=1.0, steps=50):
     return w
 
 
+@pytest.fixture
+def spark(spark):
+    """A session of its own: one that has had an Observation can't send Spark's fitted model, with its summary, to tasks."""
+    return spark.newSession()
+
+
 @pytest.fixture(scope="module")
 def points():
     rng = np.random.default_rng(7)
