@@ -25,8 +25,10 @@ from shelfwise.llm.common import BLANKS, settled, unused, written
 
 # Jaccard similarity in percent from which two lines match.
 SIMILARITY = 80
-# Word counts are pooled in so many buckets: a bound on what every task gets.
-BUCKETS = 1 << 17
+# Word counts are pooled in so many buckets: a bound on what every task gets, and what Spark's fast map of counts holds.
+BUCKETS = 1 << 16
+# Lines of more words have a second bitmap.
+LONG = 80
 # Cells of the bitmap of line hashes; seven bits each.
 FILTER_CELLS = 1 << 19
 
@@ -45,13 +47,14 @@ def _words(line: Column) -> Column:
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, print, line_no, line, id``: a document is told by its key and a print of its text, a line by a hash."""
+    # A first byte above the blank tells a word without the regular expression.
     # The print is taken before the lines are parted, or it would be taken for each of them.
     parted = docs.where(F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.split(text, "\n").alias("parts")
     )
     return (
         parted.select("key", "print", F.posexplode_outer("parts").alias("line_no", "line"))
-        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+        .where((F.col("line") >= "!") | F.col("line").rlike(r"[^\x20\x09-\x0D]"))
         .withColumn("id", F.xxhash64("line"))
     )
 
@@ -103,13 +106,18 @@ def _count(ids: Column) -> Column:
     return F.coalesce(F.size(ids), F.lit(0))
 
 
-def _bits(ids: Column, half: int) -> Column:
-    """One half of a bitmap of the words in 128 places, by seven bits of their hash."""
-    chosen = F.bitwise_not if half == 0 else lambda t: t
+def _bits(ids: Column, second: bool = False) -> Column:
+    """64 places, each set if an odd number of words fall there; the second ones are of the words with one bit of their hash set.
+
+    A word that only one of two lines has changes one place, so they differ in no more places than words,
+    and unlike marks of the words that are there, these stay apart in long lines too.
+    """
 
     def mark(bits: Column, t: Column) -> Column:
-        one = F.shiftright(chosen(t), 6).bitwiseAND(F.lit(1).cast("bigint"))
-        return bits.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int")))
+        one = F.lit(1).cast("bigint")
+        if second:
+            one = F.shiftright(t, 6).bitwiseAND(one)
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int")))
 
     return F.coalesce(F.aggregate(ids, F.lit(0).cast("bigint"), mark), F.lit(0).cast("bigint"))
 
@@ -137,6 +145,15 @@ def _may_match(similarity: int) -> str:
     )
 
 
+def _close(similarity: int) -> tuple[str, str]:
+    """No more differing words than two matches can have, by their bitmaps: a bound that is quick to tell, and the least one."""
+    most = f"x.n + y.n - 2 * {_overlap(similarity)}"
+    quick = f"{100 + similarity} * bit_count(x.b0 ^ y.b0) <= {100 - similarity} * (x.n + y.n)"
+    # The first bitmaps without the words of the second ones, and these: 128 places in all.
+    both = "bit_count(x.b0 ^ x.b1 ^ y.b0 ^ y.b1) + bit_count(x.b1 ^ y.b1)"
+    return quick, f"bit_count(x.b0 ^ y.b0) <= {most} AND (least(x.n, y.n) <= {LONG} OR {both} <= {most})"
+
+
 def _with_candidates(lines: DataFrame, rarity: DataFrame, similarity: int) -> DataFrame:
     """``id, words``: lines that share a prefix word with another and pass all filters with it, and these words.
 
@@ -144,11 +161,15 @@ def _with_candidates(lines: DataFrame, rarity: DataFrame, similarity: int) -> Da
     """
     rows = (
         _with_ids(lines.select("line", "id").distinct(), rarity)
-        .select("id", _count(F.col("ids")).alias("n"), _bits(F.col("ids"), 0).alias("b0"), _bits(F.col("ids"), 1).alias("b1"), F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
+        .withColumn("n", _count(F.col("ids")))
+        .withColumn("b0", _bits(F.col("ids")))
+        .withColumn("b1", F.when(F.col("n") > LONG, _bits(F.col("ids"), second=True)).otherwise(F.lit(0).cast("bigint")))
+        .select("id", "n", "b0", "b1", F.slice("ids", F.lit(1), _prefix(similarity)).alias("prefix"))
         .select("id", "n", "b0", "b1", F.posexplode_outer("prefix").alias("place", "word"))
     )
-    close = f"bit_count(x.b0 ^ y.b0) + bit_count(x.b1 ^ y.b1) <= x.n + y.n - 2 * {_overlap(similarity)}"
-    condition = f"x.word = y.word AND x.id <> y.id AND {_may_match(similarity)} AND {close}"
+    quick, least = _close(similarity)
+    # The quick test comes first: nearly all pairs of lines with a common word fail it.
+    condition = f"x.word = y.word AND {quick} AND x.id <> y.id AND {_may_match(similarity)} AND {least}"
     left = rows.alias("y").join(rows.alias("x"), F.expr(condition), "left_semi")
     # No more words than the line's prefix has.
     return left.groupBy("id").agg(F.collect_list(F.struct("place", "word")).alias("words"))

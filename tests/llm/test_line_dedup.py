@@ -84,6 +84,22 @@ def test_a_large_family(spark):
     assert found(dedup_lines(documents(spark, rows))) == brute(rows)
 
 
+def test_unrelated_long_lines_are_no_candidates(spark):
+    """Long lines fill a bitmap; two of them with a rare word in common are told apart all the same."""
+    from shelfwise.llm import line_dedup as L
+
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(400)]
+    rows = [(i, " ".join([f"rare{i // 2}", *rng.sample(common, 199)])) for i in range(40)]
+    docs = documents(spark, rows)
+    assert L._with_candidates(L._lines(docs, "doc_id", "text"), L._rarity(docs, "text"), 80).count() == 0
+    # Near copies are found whether both lines have second bitmaps, one or none.
+    sizes = (9, L.LONG - 1, L.LONG, L.LONG + 1, 200)
+    pairs = [" ".join(common[: n - odd]) for n in sizes for odd in (0, 1)]
+    docs = documents(spark, list(enumerate(pairs)))
+    assert L._with_candidates(L._lines(docs, "doc_id", "text"), L._rarity(docs, "text"), 80).count() == len(set(pairs))
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
