@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
+        # Tests read filters from plans; numbers of columns grow in a long session, and long texts are cut.
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
         .config("spark.checkpoint.dir", str(root / "shared"))
         .getOrCreate()
